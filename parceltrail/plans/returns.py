@@ -97,6 +97,7 @@ def return_backlog(t: Tables, clock: Clock) -> DataFrame:
     waybills = recent_rows(t["waybill_waybill"], LOOK_BACK, clock, "update_time").where(
         (F.col("void_flag") == "0") & (F.col("deleted") == "0")
     )
+    waybills = waybills.drop("return_pod_record_time")
     rows = current_waybills(waybills.join(open_returns(t, clock), KEY))
     rows = decode_all(
         rows,

@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", app: str = "parceltrail", shuffle_part
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**REQUIRED, **RECOMMENDED}.items():
