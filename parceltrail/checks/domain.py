@@ -7,6 +7,8 @@ with the test data. `{name}` stands for another table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from parceltrail.functions import reasons
@@ -296,31 +298,41 @@ FROM (SELECT l_suppkey % 45 AS bag, l_partkey % 4 AS vehicle, count(DISTINCT l_s
 }
 
 BASE = ["orders", "lineitem", "customer", "supplier", "nation"]
-HELPERS = ["places", "reason_codes", "parcels", "versions"]
-
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All parcel tables, lazily, on one scale-factor folder."""
-    frames: dict[str, DataFrame] = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE}
-    for name, query in QUERIES.items():
-        used = {n: df for n, df in frames.items() if "{" + n + "}" in query}
-        frames[name] = spark.sql(query, **used)
-    return Tables({name: conform(frames[name], schema) for name, schema in SCHEMAS.items()})
 
-
-def with_tables(*names: str) -> str:
-    """A DuckDB WITH list that defines the named parcel tables and what they need."""
-    needed: list[str] = []
+def _needed(names: Sequence[str]) -> list[str]:
+    """The named tables and what they are derived from, in dependency order."""
+    found: set[str] = set()
 
     def need(name: str) -> None:
-        if name in needed or name not in QUERIES:
-            return
-        for other in QUERIES:
-            if "{" + other + "}" in QUERIES[name]:
-                need(other)
-        needed.append(name)
+        if name in QUERIES and name not in found:
+            found.add(name)
+            for other in QUERIES:
+                if "{" + other + "}" in QUERIES[name]:
+                    need(other)
 
     for name in names:
         need(name)
+    return [name for name in QUERIES if name in found]
+
+
+def frames(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Derived tables and helpers as they come out of their queries."""
+    known: dict[str, DataFrame] = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE}
+    for name in _needed(names):
+        used = {n: df for n, df in known.items() if "{" + n + "}" in QUERIES[name]}
+        known[name] = spark.sql(QUERIES[name], **used)
+    return known
+
+
+def tables(spark: SparkSession, sf_dir: str, names: Sequence[str] | None = None) -> Tables:
+    """Parcel tables (all by default), lazily, on one scale-factor folder."""
+    wanted = list(names or SCHEMAS)
+    known = frames(spark, sf_dir, wanted)
+    return Tables({name: conform(known[name], SCHEMAS[name]) for name in wanted})
+
+
+def with_tables(*names: str) -> str:
+    """A DuckDB WITH list that defines the named parcel tables and what they need."""
     plain = {n: n for n in [*BASE, *QUERIES]}
-    return "WITH " + ",\n".join(f"{n} AS ({QUERIES[n].format(**plain)})" for n in needed)
+    return "WITH " + ",\n".join(f"{n} AS ({QUERIES[n].format(**plain)})" for n in _needed(names))
