@@ -7,7 +7,6 @@ and otherwise shuffles, where AQE splits skewed partitions of the preserved left
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +36,9 @@ def lookup(
         dim = _one_row_per_key(dim, list(on.values()), sorted(set(take.values())))
     keys = {f"__k{i}": dim_key for i, dim_key in enumerate(on.values())}
     values = {f"__v{i}": column for i, column in enumerate(take.values())}
-    right = dim.select(*[F.col(c).alias(alias) for alias, c in {**keys, **values}.items()])
-    test = reduce(lambda a, b: a & b, (df[fact] == right[alias] for fact, alias in zip(on, keys)))
-    return df.join(right, test, how).drop(*keys, *take).withColumnsRenamed(dict(zip(values, take)))
+    right = dim.selectExpr(*[f"`{c}` AS {alias}" for alias, c in {**keys, **values}.items()])
+    test = " AND ".join(f"`{fact}` = {alias}" for fact, alias in zip(on, keys))
+    return df.join(right, F.expr(test), how).drop(*keys, *take).withColumnsRenamed(dict(zip(values, take)))
 
 
 def lookup_roles(df: DataFrame, dim: DataFrame, roles: Sequence[tuple[Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
@@ -51,7 +50,7 @@ def lookup_roles(df: DataFrame, dim: DataFrame, roles: Sequence[tuple[Mapping[st
 
 def decode(df: DataFrame, options: DataFrame, code: str, type_option: str, out: str, how: str = "left") -> DataFrame:
     """Label of a code from the (type_option, option_value, option_name) dimension."""
-    labels = options.where(F.col("type_option") == type_option)
+    labels = options.where(f"type_option = '{type_option}'")
     return lookup(df, labels, {code: "option_value"}, {out: "option_name"}, how=how)
 
 

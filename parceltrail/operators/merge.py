@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,13 +17,13 @@ class Pick:
     right: str | None = None
     switch: str | None = None
 
-    def column(self) -> Column:
-        left = F.col(f"l.{self.left}") if self.left else F.lit(None)
-        right = F.col(f"r.{self.right}") if self.right else F.lit(None)
+    def expression(self) -> str:
+        """SQL over the sides `l` and `r`."""
+        left, right = f"l.`{self.left}`", f"r.`{self.right}`"
         if self.switch:
-            return F.when(F.col(f"l.{self.switch}").isNull(), left).otherwise(right)
+            return f"CASE WHEN l.`{self.switch}` IS NULL THEN {left} ELSE {right} END"
         if self.left and self.right:
-            return F.coalesce(left, right)
+            return f"coalesce({left}, {right})"
         return left if self.left else right
 
 
@@ -47,4 +47,4 @@ def right_once_set(switch: str, left: str, right: str | None = None) -> Pick:
 
 def merge(left: DataFrame, right: DataFrame, key: str, policy: Mapping[str, Pick], how: str = "full") -> DataFrame:
     joined = left.alias("l").join(right.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"), how)
-    return joined.select(*[pick.column().alias(out) for out, pick in policy.items()])
+    return joined.selectExpr(*[f"{pick.expression()} AS `{out}`" for out, pick in policy.items()])

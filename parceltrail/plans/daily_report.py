@@ -218,6 +218,25 @@ POLICY = {
     **{f"{c}_ww": only_right(c) for c in _WAYBILL_AMOUNTS},
 }
 
+# Columns that depend on the parcel number alone.
+SUMMARIES = [
+    "first_deliv_attempt",
+    "last_deliv_attempt",
+    "count_deliv_attempt",
+    "last_location",
+    "last_activity",
+    "last_scan_time",
+    "first_problem_branch",
+    "first_problem_photo",
+    "last_problem_photo",
+    "count_pos",
+    "first_pos_reason",
+    "first_pos_attempt",
+    "last_pos_reason",
+    "last_pos_attempt",
+    "last_pos_type",
+]
+
 
 def orders(t: Tables, clock: Clock, sane_pickup_sla: bool = False) -> DataFrame:
     """Current orders with pickup results. The newest input decides the version."""
@@ -390,9 +409,17 @@ def daily_report(t: Tables, clock: Clock, sane_pickup_sla: bool = False) -> Data
 
     Open pickup-service orders are labelled the wrong way round (a slot still ahead is Late) unless
     `sane_pickup_sla` is set.
+
+    The summaries are attached to both sides before the full join: everything up to it is partitioned by the parcel
+    number already, while its wide output is not and would have to be shuffled again.
     """
-    rows = merge(orders(t, clock, sane_pickup_sla), waybills(t, clock), KEY, POLICY)
-    rows = attach(rows, [scan_summary(t, clock), problem_summary(t, clock)], KEY)
+    summaries = [scan_summary(t, clock), problem_summary(t, clock)]
+    rows = merge(
+        attach(orders(t, clock, sane_pickup_sla), summaries, KEY),
+        attach(waybills(t, clock), summaries, KEY),
+        KEY,
+        {**POLICY, **{c: prefer_left(c) for c in SUMMARIES}},
+    )
     has_problem, reason = F.col("first_pos_attempt").isNotNull(), F.col("last_pos_reason")
     rows = rows.withColumns(
         {

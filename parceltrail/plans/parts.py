@@ -124,5 +124,5 @@ def problem_scan_columns() -> dict[str, Column]:
 
 def columns_in_order(df: DataFrame, outputs: Sequence[str] | Mapping[str, str]) -> DataFrame:
     if isinstance(outputs, Mapping):
-        return df.select(*[F.col(c).alias(out) for out, c in outputs.items()])
+        return df.selectExpr(*[f"`{c}` AS `{out}`" for out, c in outputs.items()])
     return df.select(*outputs)

@@ -202,6 +202,18 @@ POLICY = {
     **{c: only_right(c) for c in _FROM_WAYBILL},
 }
 
+# Columns that depend on the parcel number alone.
+SUMMARIES = [
+    "recording_time_pos",
+    "late_reason",
+    "problem_type",
+    "problem_delivery_category_2",
+    "problem_delivery_category_oms_2",
+    "late_delivery_factor",
+    "late_delivery_category",
+    "count_pos",
+]
+
 
 def seller_keys(t: Tables, username: str) -> DataFrame:
     """Parcels that any version of an order or waybill assigns to the seller: a superset of the report's parcels."""
@@ -469,19 +481,22 @@ def seller_performance(
 
     For one seller every table is first cut down to the parcels any version of which names the seller. Rows without
     an order never carry an account name, so one seller's report needs only the orders' side of the merge.
+
+    The summaries are attached before the merge, while the rows are still partitioned by the parcel number.
     """
     keys = None if username is None else seller_keys(t, username)
-    rows = merge(
-        orders(t, clock, keys),
-        waybills(t, clock, keys, local_deadline),
-        KEY,
-        POLICY,
-        how="full" if username is None else "left",
-    )
+    summaries = [problems(t, clock, keys), problem_counts(t, clock, keys)]
+    rows = attach(orders(t, clock, keys), summaries, KEY)
+    parcels = waybills(t, clock, keys, local_deadline)
+    if username is None:
+        policy = {**POLICY, **{c: prefer_left(c) for c in SUMMARIES}}
+        rows = merge(rows, attach(parcels, summaries, KEY), KEY, policy)
+    else:
+        policy = {**POLICY, **{c: only_left(c) for c in [KEY, *SUMMARIES]}}
+        rows = merge(rows, parcels, KEY, policy, how="left")
     rows = rows.where(F.col("order_source") == source)
     if username is not None:
         rows = rows.where(F.col("vip_username") == username)
-    rows = attach(rows, [problems(t, clock, keys), problem_counts(t, clock, keys)], KEY)
     reason = F.col("late_reason")
     ladder = [
         F.col("order_status"),
