@@ -316,20 +316,36 @@ def _needed(names: Sequence[str]) -> list[str]:
     return [name for name in QUERIES if name in found]
 
 
-def frames(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
+def frames(
+    spark: SparkSession, sf_dir: str, names: Sequence[str], known: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Derived tables and helpers as they come out of their queries."""
-    known: dict[str, DataFrame] = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE}
+    known = {} if known is None else known
+    for name in BASE:
+        known.setdefault(name, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     for name in _needed(names):
-        used = {n: df for n, df in known.items() if "{" + n + "}" in QUERIES[name]}
-        known[name] = spark.sql(QUERIES[name], **used)
+        if name not in known:
+            used = {n: df for n, df in known.items() if "{" + n + "}" in QUERIES[name]}
+            known[name] = spark.sql(QUERIES[name], **used)
     return known
 
 
-def tables(spark: SparkSession, sf_dir: str, names: Sequence[str] | None = None) -> Tables:
-    """Parcel tables (all by default), lazily, on one scale-factor folder."""
-    wanted = list(names or SCHEMAS)
-    known = frames(spark, sf_dir, wanted)
-    return Tables({name: conform(known[name], SCHEMAS[name]) for name in wanted})
+class DerivedTables(Tables):
+    """Parcel tables on one scale-factor folder; each is derived when a report first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__({})
+        self._spark, self._sf_dir, self._known = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            rows = frames(self._spark, self._sf_dir, [name], self._known)[name]
+            self._frames[name] = conform(rows, SCHEMAS[name])
+        return self._frames[name]
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return DerivedTables(spark, sf_dir)
 
 
 def with_tables(*names: str) -> str:

@@ -355,7 +355,7 @@ FROM (
   WHERE place = 1) AS newest
 WHERE lane_place = 1""")
 def price_effective(s: Source) -> DataFrame:
-    t = domain.tables(s.spark, s.sf_dir, ["standard_shipping_fee"])
+    t = domain.tables(s.spark, s.sf_dir)
     return current_prices(t, domain.CLOCK).select(
         "shipping_client_id",
         "sender_location_id",
@@ -522,7 +522,7 @@ SELECT waybill_no, CAST(w.update_time AS VARCHAR) AS update_time,
     ELSE 'inactive' END AS any_account
 FROM waybill_waybill w LEFT JOIN res_user u ON u.id = pickup_courier_id LEFT JOIN res_user o ON o.id = vip_customer_id""")
 def courier_fallback(s: Source) -> DataFrame:
-    t = domain.tables(s.spark, s.sf_dir, ["waybill_waybill", "res_user"])
+    t = domain.tables(s.spark, s.sf_dir)
     rows = t["waybill_waybill"]
     for key, prefix in (("pickup_courier_id", "u"), ("vip_customer_id", "o")):
         take = {f"{prefix}_enabled": "enabled", f"{prefix}_deleted": "deleted"}

@@ -191,6 +191,7 @@ class Tables:
         return Tables({**self._frames, name: df})
 
     def check_unique(self, *names: str) -> None:
+        """Raise when a dimension repeats a key that lookups rely on; all loaded dimensions by default."""
         for name in names or [n for n in UNIQUE_KEYS if n in self._frames]:
             keys, rows = UNIQUE_KEYS[name]
             assert_unique(self._frames[name].where(rows), keys, name)
