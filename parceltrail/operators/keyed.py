@@ -56,7 +56,7 @@ def running_extreme(
     keys: Sequence[str],
     order: str,
     outputs: Mapping[str, tuple[str, str]],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Running minimum (rows in ascending order) or maximum (descending order) of columns, peers included.
@@ -110,7 +110,7 @@ def attempt_rank(
     keys: Sequence[str],
     order: str,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Attempt number by ascending time; equal times share a number and leave a gap.
@@ -165,7 +165,7 @@ def neighbours(
     order: Sequence[str],
     lags: Mapping[str, tuple[str, int]],
     leads: Mapping[str, tuple[str, int]],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     bucket: Column | None = None,
     counted: DataFrame | None = None,
 ) -> DataFrame:

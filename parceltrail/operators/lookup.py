@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.values import joined
 
+MAX_BROADCAST_KEYS = 1_000_000
+
 
 def _one_row_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     packed = dim.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__row"))
@@ -79,6 +81,22 @@ def having_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
+def small_list(keys: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame | None:
+    """The distinct keys marked for broadcast if there are at most `max_keys` of them, else None.
+
+    For cutting a log down before it is grouped, where a later join removes the other keys anyway: a shuffled semi
+    join would move every raw row and put a hot key into one task, so a long list is better not applied at all. Runs
+    one bounded count.
+    """
+    listed = keys.distinct()
+    return F.broadcast(listed) if listed.limit(max_keys + 1).count() <= max_keys else None
+
+
+def listed_only(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is in a list from `small_list`; all rows without a list."""
+    return df if keys is None else having_key(df, keys, key)
+
+
 def left_join_heavy_right(left: DataFrame, right: DataFrame, test_left: str, test_right: str) -> DataFrame:
     """Left join of a small side to a side where one key may hold most rows.
 

@@ -37,13 +37,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> Da
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, counted: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = HOT_ROWS, counted: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys); NULL keys are keys as well.
 
     `counted` is a cheaper frame to count the keys in, such as the table before its joins. The hot-key list is
-    broadcast: it never has more than MAX_HOT_KEYS rows.
+    broadcast: it never has more than MAX_HOT_KEYS rows. Without `min_rows` nothing is counted and no key is hot.
     """
+    if min_rows is None:
+        return df, df.limit(0)
     hot = F.broadcast(hot_keys(df if counted is None else counted, keys, min_rows))
     test = _same_keys(df, hot, keys)
     return df.join(hot, test, "left_anti"), df.join(hot, test, "left_semi")

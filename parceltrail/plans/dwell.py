@@ -94,7 +94,7 @@ def _halves(returned: bool) -> tuple[dict[str, tuple[Column, Column]], Column]:
     return halves, before_last if returned else after
 
 
-def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     scans = recent_scans(t, LOOK_BACK, clock).select(
         KEY,
         "record_time",
@@ -124,7 +124,7 @@ def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int = HOT_R
     )
 
 
-def longest_dwell(t: Tables, clock: Clock, returned: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def longest_dwell(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Top stays of at least 14 started days per parcel, forward and return halves ranked together."""
     rows = stays(t, clock, returned, hot_rows)
     side = F.when(F.col("half") == "out", F.col("last_side")).when(F.col("last_time").isNotNull(), RETURN_HALF)

@@ -10,7 +10,7 @@ from parceltrail.functions.clock import Clock, local_date, past_cutoff
 from parceltrail.functions.status import seller_final_status, seller_status
 from parceltrail.functions.values import safe_int
 from parceltrail.operators.keyed import latest_per_key
-from parceltrail.operators.lookup import decode_all, having_key, lookup
+from parceltrail.operators.lookup import decode_all, having_key, listed_only, lookup, small_list
 from parceltrail.operators.merge import merge, only_left, only_right, prefer_left, right_once_set
 from parceltrail.operators.summary import at_latest, attach, summarise
 from parceltrail.plans.parts import (
@@ -221,11 +221,7 @@ def seller_keys(t: Tables, username: str) -> DataFrame:
         t[name].where((F.col("parent_shipping_cleint") == username) & F.col(KEY).isNotNull()).select(KEY)
         for name in ("order_order", "waybill_waybill")
     ]
-    return parts[0].unionByName(parts[1]).distinct()
-
-
-def _of_parcels(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
-    return rows if keys is None else having_key(rows, keys, KEY)
+    return parts[0].unionByName(parts[1])
 
 
 def orders(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
@@ -350,9 +346,9 @@ def current_prices(t: Tables, clock: Clock) -> DataFrame:
 
 def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadline: bool = False) -> DataFrame:
     """Current parcels with delivery results and their newest undeleted return bill."""
-    rows = recent_rows(_of_parcels(t["waybill_waybill"], keys), LOOK_BACK, clock, "shipping_time", "update_time")
+    rows = recent_rows(listed_only(t["waybill_waybill"], keys, KEY), LOOK_BACK, clock, "shipping_time", "update_time")
     rows = current_waybills(rows)
-    bills = _of_parcels(t["waybill_return_bill"].where(F.col("deleted") == "0"), keys)
+    bills = listed_only(t["waybill_return_bill"].where(F.col("deleted") == "0"), keys, KEY)
     bills = current_returns(recent_rows(bills, LOOK_BACK, clock, "update_time")).select(
         KEY,
         "return_type_id",
@@ -439,7 +435,7 @@ def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadl
 
 def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     """Last problem per parcel, the late reason drawn from it, and its classes."""
-    rows = _of_parcels(recent_problems(t, LOOK_BACK, clock), keys)
+    rows = listed_only(recent_problems(t, LOOK_BACK, clock), keys, KEY)
     time = F.col("operation_time")
     rows = summarise(
         rows,
@@ -450,7 +446,7 @@ def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFram
             "problem_type": at_latest(time, F.col("problem_label")),
         },
     ).withColumns(walls(clock, "recording_time_pos"))
-    partner = _of_parcels(t["mitra_late_reason_delivery"], keys)
+    partner = listed_only(t["mitra_late_reason_delivery"], keys, KEY)
     rows = lookup(rows, partner, {KEY: KEY}, {"__partner": "late_delivery_reason"}, dedupe=True)
     rows = rows.withColumn("late_reason", reasons.late_reason(F.col("__reason"), F.col("__partner")))
     reason = F.col("late_reason")
@@ -466,7 +462,7 @@ def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFram
 
 def problem_counts(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     scans = t["waybill_waybill_line"].where((F.col("operation_type") == PROBLEM_SCAN) & F.col(KEY).isNotNull())
-    scans = _of_parcels(recent_rows(scans, LOOK_BACK, clock, "record_time"), keys)
+    scans = listed_only(recent_rows(scans, LOOK_BACK, clock, "record_time"), keys, KEY)
     return summarise(scans, [KEY], {"count_pos": F.count("record_time")})
 
 
@@ -479,12 +475,13 @@ def seller_performance(
 ) -> DataFrame:
     """One row per order or parcel of a source, and of one seller account unless `username` is None.
 
-    For one seller every table is first cut down to the parcels any version of which names the seller. Rows without
-    an order never carry an account name, so one seller's report needs only the orders' side of the merge.
+    For one seller every table is first cut down to the parcels any version of which names the seller, unless there
+    are too many to broadcast. Rows without an order never carry an account name, so one seller's report needs only
+    the orders' side of the merge.
 
     The summaries are attached before the merge, while the rows are still partitioned by the parcel number.
     """
-    keys = None if username is None else seller_keys(t, username)
+    keys = None if username is None else small_list(seller_keys(t, username))
     summaries = [problems(t, clock, keys), problem_counts(t, clock, keys)]
     rows = attach(orders(t, clock, keys), summaries, KEY)
     parcels = waybills(t, clock, keys, local_deadline)

@@ -10,7 +10,7 @@ from parceltrail.functions.delivery import SIGNED
 from parceltrail.functions.pickup import SELLER_PORTAL
 from parceltrail.functions.status import RETURN_RECEIVED
 from parceltrail.operators.keyed import attempt_pivot
-from parceltrail.operators.lookup import decode_all, having_key
+from parceltrail.operators.lookup import decode_all, listed_only, small_list
 from parceltrail.operators.summary import at_latest, attach, count_where, summarise
 from parceltrail.plans.parts import (
     DELIVERY_ATTEMPT,
@@ -72,12 +72,13 @@ def open_vip_versions(t: Tables, clock: Clock) -> DataFrame:
 def vip_problem_check(t: Tables, clock: Clock, min_problems: int = 2) -> DataFrame:
     """One row per open parcel with at least `min_problems` problem scans.
 
-    The logs are cut down to the open parcels' keys before they are summarised.
+    The logs are cut down to the open parcels before they are summarised, if those are few enough to broadcast.
     """
     versions = open_vip_versions(t, clock)
     base = current_waybills(versions)
-    scans = having_key(recent_scans(t, LOOK_BACK, clock), versions, KEY)
-    problems = having_key(recent_problems(t, LOOK_BACK, clock), versions, KEY)
+    keys = small_list(versions.select(KEY))
+    scans = listed_only(recent_scans(t, LOOK_BACK, clock), keys, KEY)
+    problems = listed_only(recent_problems(t, LOOK_BACK, clock), keys, KEY)
 
     is_problem = F.col("operation_type") == PROBLEM_SCAN
     is_attempt = F.col("operation_type") == DELIVERY_ATTEMPT

@@ -202,22 +202,30 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS["smu_template_2"]).csv(path, header=True)
 
 
-def write_mart(df: DataFrame, target: str, partition_by: Sequence[str] = (), table: bool = False) -> None:
-    """Overwrite a mart: a Parquet folder, or a catalog table.
-
-    With partition columns only the partitions present in `df` are replaced. The rebalance hint keeps files of even
-    size and splits a partition value that holds most rows.
+def write_mart(
+    df: DataFrame,
+    target: str,
+    partition_by: Sequence[str] = (),
+    table: bool = False,
+    only_partitions: bool = False,
+) -> None:
+    """Replace a mart: a Parquet folder, or a catalog table.
+
+    A report is a snapshot of its look-back, so the whole mart is replaced by default; `only_partitions` keeps the
+    partitions that `df` has no rows for. The rebalance hint keeps files of even size and splits a partition value
+    that holds most rows.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    mode = "dynamic" if only_partitions else "static"
     spark = df.sparkSession
-    if table and spark.catalog.tableExists(target):
+    if table and only_partitions and spark.catalog.tableExists(target):
         writer = df.select(*spark.table(target).columns).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(target)
+        writer.option("partitionOverwriteMode", mode).insertInto(target)
         return
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", mode)
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by)
     if table:
         writer.saveAsTable(target)
     else:

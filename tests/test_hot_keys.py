@@ -38,7 +38,7 @@ def test_hot_keys_are_the_large_ones(log):
     assert cold.where("key IS NULL").count() + hot.where("key IS NULL").count() == log.where("key IS NULL").count()
 
 
-@pytest.mark.parametrize("hot_rows", [1, 150, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 150, 10_000, None])
 def test_neighbours(log, hot_rows):
     order = ["at", "label", "id"]
     lags, leads = {"p1": ("label", 1), "p2": ("label", 2)}, {"n1": ("label", 1), "n2": ("value", 2)}
@@ -56,14 +56,14 @@ def test_neighbours(log, hot_rows):
     assert rows_of(got, *columns) == rows_of(want, *columns)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 150, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 150, 10_000, None])
 def test_attempt_rank(log, hot_rows):
     got = keyed.attempt_rank(log, ["key"], "at", "n", hot_rows=hot_rows)
     want = log.withColumn("n", F.rank().over(Window.partitionBy("key").orderBy("at")).cast("bigint"))
     assert rows_of(got, "id", "n") == rows_of(want, "id", "n")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 150, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 150, 10_000, None])
 def test_running_extreme(log, hot_rows):
     got = keyed.running_extreme(
         log, ["key"], "at", {"low": ("label", "min"), "high": ("label", "max")}, hot_rows=hot_rows

@@ -50,12 +50,17 @@ def test_parquet_and_catalog_readers(spark, tmp_path):
     assert found.columns == SCHEMAS["waybill_waybill_line"].fieldNames()
 
 
-def test_mart_overwrite_replaces_only_its_partitions(spark, tmp_path):
+@pytest.mark.parametrize(
+    ("only_partitions", "left"),
+    [(False, {(date(2024, 1, 2), 3)}), (True, {(date(2024, 1, 1), 1), (date(2024, 1, 2), 3)})],
+)
+def test_mart_overwrite(spark, tmp_path, only_partitions, left):
     target = str(tmp_path / "mart")
     columns = "day date, n int"
     write_mart(spark.createDataFrame([(date(2024, 1, 1), 1), (date(2024, 1, 2), 2)], columns), target, ["day"])
-    write_mart(spark.createDataFrame([(date(2024, 1, 2), 3)], columns), target, ["day"])
-    assert {(r["day"], r["n"]) for r in read_mart(spark, target).collect()} == {(date(2024, 1, 1), 1), (date(2024, 1, 2), 3)}
+    again = spark.createDataFrame([(date(2024, 1, 2), 3)], columns)
+    write_mart(again, target, ["day"], only_partitions=only_partitions)
+    assert {(r["day"], r["n"]) for r in read_mart(spark, target).collect()} == left
 
 
 def test_wall_clocks_survive_a_mart(spark, tmp_path):
