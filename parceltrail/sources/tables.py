@@ -220,16 +220,21 @@ def write_mart(
     mode = "dynamic" if only_partitions else "static"
     spark = df.sparkSession
     if table and only_partitions and spark.catalog.tableExists(target):
-        writer = df.select(*spark.table(target).columns).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", mode).insertInto(target)
+        setting = "spark.sql.sources.partitionOverwriteMode"  # insertInto reads the session, not a write option
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, mode)
+        try:
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
         return
-    writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", mode)
+    writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table:
-        writer.saveAsTable(target)
+        writer.saveAsTable(target)  # would keep a write option as a property of the table
     else:
-        writer.save(target)
+        writer.option("partitionOverwriteMode", mode).save(target)
 
 
 def read_mart(spark: SparkSession, source: str, table: bool = False) -> DataFrame:

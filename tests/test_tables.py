@@ -68,3 +68,17 @@ def test_wall_clocks_survive_a_mart(spark, tmp_path):
     rows = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 09:00:00' AS at")
     write_mart(rows, target)
     assert read_mart(spark, target).first()["at"] == datetime(2024, 1, 1, 9)
+
+
+def test_catalog_mart(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts LOCATION '{tmp_path}/marts'")
+    columns = "n int, day date"
+    first = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 2))], columns)
+    try:
+        write_mart(first, "marts.daily", ["day"], table=True)
+        write_mart(first.where("n = 2").selectExpr("n + 1 AS n", "day"), "marts.daily", ["day"], True, only_partitions=True)
+        assert {r["n"] for r in read_mart(spark, "marts.daily", table=True).collect()} == {1, 3}
+        write_mart(first.where("n = 2"), "marts.daily", ["day"], table=True)
+        assert {r["n"] for r in read_mart(spark, "marts.daily", table=True).collect()} == {2}
+    finally:
+        spark.sql("DROP DATABASE marts CASCADE")
