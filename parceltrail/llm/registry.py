@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe
+from parceltrail.llm import bpe, exact_dedup, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": exact_dedup.query,
     "op5_bpe_rounds": bpe.query,
+    "op6_simhash_covering": simhash.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
