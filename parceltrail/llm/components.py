@@ -3,7 +3,8 @@
 Every round each node's parent becomes the smallest grandparent label seen at its neighbours, its own parent hooks to the
 same label, and parents jump to grandparents, so the number of rounds grows with the logarithm of a component's size.
 Nothing but one count per round reaches the driver. Minimum labels combine before each shuffle, so a node with very many
-edges costs no task more than its share; each round's labels are checkpointed in the shared folder.
+edges costs no task more than its share; each round's labels are written to the
+shared folder: that cuts the lineage, and joins that read them have an exchange on either side, which AQE can split.
 """
 
 from __future__ import annotations
@@ -11,27 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import cut
+from parceltrail.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of `edges` (a, b: any orderable type): the smallest node that it reaches."""
     both = edges.select("a", "b").where("a <> b")
-    both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("label")))
+    both = stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    lowest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+    labels = stored(lowest.select("node", F.least("node", "low").alias("label")), "labels")
     while True:
         upper = labels.select(F.col("node").alias("up"), F.col("label").alias("grand"))
         jumped = labels.join(upper, F.col("label") == F.col("up")).select("node", "label", "grand")
-        jumped = cut(jumped)
-        near = (
-            both.join(jumped.select(F.col("node").alias("b"), "grand"), "b")
-            .groupBy("a")
-            .agg(F.min("grand").alias("seen"))
-        )
+        jumped = stored(jumped, "jumped")
+        near = both.join(jumped.select(F.col("node").alias("b"), "grand"), "b").groupBy("a").agg(F.min("grand").alias("seen"))
         met = jumped.join(near, jumped["node"] == near["a"]).select("node", "label", "grand", "seen")
         own = met.select("node", F.least("grand", "seen").alias("label"))
         hooked = met.groupBy(F.col("label").alias("node")).agg(F.min("seen").alias("label"))
-        after = cut(own.unionByName(hooked).groupBy("node").agg(F.min("label").alias("label")))
+        after = stored(own.unionByName(hooked).groupBy("node").agg(F.min("label").alias("label")), "labels")
         before = labels.select(F.col("node").alias("was"), F.col("label").alias("old"))
         moved = after.join(before, F.col("node") == F.col("was")).where("label <> old").limit(1).count()
         labels = after

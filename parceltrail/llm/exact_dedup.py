@@ -189,13 +189,14 @@ def find_duplicates(docs: DataFrame, in_snapshot: Column) -> DataFrame:
     models = (
         members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("body").alias("model"))
     )
-    compared = members.join(models, "digest").select(
+    compared = members.join(stored(models, "models"), "digest").select(
         "doc_id", "digest", F.when(F.col("body") != F.col("model"), F.col("body")).alias("other")
     )
-    compared = cut(compared)
+    compared = stored(compared, "compared")
     groups = compared.groupBy(F.col("digest").alias("of_digest"), F.col("other").alias("of_other")).agg(
         F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id")
     )
+    groups = stored(groups, "groups")
     same = F.col("digest").eqNullSafe(F.col("of_digest")) & F.col("other").eqNullSafe(F.col("of_other"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
     repeated = compared.join(groups, same).select(

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe, exact_dedup, simhash
+from parceltrail.llm import bpe, cube_mix, exact_dedup, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.query,
     "op5_bpe_rounds": bpe.query,
     "op6_simhash_covering": simhash.query,
+    "op8_cube_mix": cube_mix.query,
+    "op9_quality": quality.query,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -4,18 +4,25 @@ Each bit position carries a vector of radius + 1 bits; a table for every other v
 has an odd inner product with v. Positions in which two fingerprints differ are at most `radius` vectors, so some v is
 orthogonal to all of them and its table puts both fingerprints in one bucket: no pair within the radius is missed.
 
-Distinct fingerprints stand for their documents. Inside a bucket, fingerprints are compared in blocks and only edges that
-join two groups not yet joined there leave the task, so a bucket of n fingerprints emits at most n - 1 edges. In buckets
-that are larger than a block, the same covering is laid over the bits the bucket leaves free, and again inside that.
+Distinct fingerprints stand for their documents. A bucket is searched breadth first: what is reached leaves the set that
+later members are compared with, so a bucket of n fingerprints emits at most n - 1 edges and a dense one costs about n
+comparisons. In buckets that are larger than a block, the same covering is laid over the bits the bucket leaves free, and
+again inside that.
+
+`near_duplicates` links fingerprints of word shingles by distance alone. `drop_near_duplicates`, for copies with changed
+words, finds pairs by fingerprints of single distinct words (under several seeds, each with its covering) and accepts those
+whose 128-bit fingerprints of five-word shingles agree in so large a share of bits as shingle sets of the asked
+similarity do, up to the spread of such an estimate.
 
 A null text counts as empty. A text without words has fingerprint zero and is linked like any other; one of fewer words
 than a shingle has one shingle of all of them. Repeated rows and ties share fingerprint and component. Rows of a null
 doc_id get their fingerprint and the component of the others; the smallest doc_id that is not null names it. Extra columns
-are ignored by `near_duplicates` and carried by `drop_near_duplicates`.
+are ignored by `near_duplicates` and carried by `drop_near_duplicates`, which leaves rows without doc_id alone.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,40 +31,44 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import byte_view, cut, documents, lower_ascii, stored
+from parceltrail.llm.common import byte_view, documents, stored
 from parceltrail.llm.components import components
 
 BITS = 64
 SEED = 42
 QUERY_WORDS, QUERY_RADIUS = 4, 4
 BLOCK = 2048
+NARROW, WIDE = ("f0", "f1", "f2"), ("w0", "w1")
 _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_hashes(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, XXH64 of each run of `words` words joined by a space) of an Arrow string column, repeats included."""
+def word_buffers(column: pa.Array) -> Iterator[tuple[int, bytes, list[int], list[int]]]:
+    """(row, words joined by single spaces, start of each word, end of each word) of every text that has words."""
     data, ends = byte_view(column)
-    digest = xxhash.xxh64_intdigest
     for row, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
         text = _LOWER[data[a:b]]
-        gap = _IS_GAP[text]
-        # Runs of gaps become one space each, none at the ends: words then lie joined in one buffer.
-        inside = ~gap
-        starts = np.flatnonzero(inside & np.r_[True, gap[:-1]]) if len(text) else np.zeros(0, np.int64)
+        inside = ~_IS_GAP[text]
+        starts = np.flatnonzero(inside & np.r_[True, ~inside[:-1]]) if len(text) else np.zeros(0, np.int64)
         if not len(starts):
-            yield row, np.zeros(0, np.uint64)
             continue
+        # A word's letters and the gap right after it stay: words then lie joined in one buffer.
         keep = inside | np.r_[False, inside[:-1]]
         joined = text[keep]
         joined[_IS_GAP[joined]] = 32
-        at = np.cumsum(keep)[starts] - 1
         raw = joined.tobytes().rstrip(b" ")
-        first = at.tolist()
-        last = [*(at[words:] - 1).tolist(), len(raw)]
-        yield row, np.array([digest(raw[p:q], SEED) for p, q in zip(first, last)], np.uint64)
+        first = np.cumsum(keep)[starts] - 1
+        yield row, raw, first.tolist(), [*(first[1:] - 1).tolist(), len(raw)]
+
+
+def shingle_hashes(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, XXH64 of each run of `words` words joined by a space) of an Arrow string column, repeats included."""
+    digest = xxhash.xxh64_intdigest
+    for row, raw, first, last in word_buffers(column):
+        stops = last[words - 1 :] or last[-1:]
+        yield row, np.array([digest(raw[p:q], SEED) for p, q in zip(first, stops)], np.uint64)
 
 
 def fingerprint_of(hashes: np.ndarray) -> int:
@@ -93,83 +104,88 @@ def covering_masks(bits: list[int], radius: int) -> list[int]:
     return [sum(1 << b for b, m in vectors.items() if (m & v).bit_count() % 2) for v in range(1, 1 << width)]
 
 
-def _close(values: np.ndarray, members: np.ndarray, radius: int, group: np.ndarray, edges: list[tuple[int, int]]) -> None:
-    """Adds an edge for every close pair of one block whose two groups are not one yet; `group` is kept up to date."""
-    own = values[members]
-    for k in range(len(own) - 1):
-        near = members[k + 1 :][np.bitwise_count(own[k] ^ own[k + 1 :]) <= radius]
-        me = int(members[k])
-        near = near[group[near] != group[me]]
-        while len(near):
-            other = int(near[0])
-            edges.append((me, other))
-            group[group == group[other]] = group[me]
-            near = near[group[near] != group[me]]
-
-
-def bucket_edges(values: np.ndarray, free: int, radius: int) -> list[tuple[int, int]]:
-    """Edges (positions) that connect what links of a bucket of distinct fingerprints connect, a forest at most.
-
-    `free`: the mask of bits in which members may differ. Large buckets are cut by covering masks over free bits, so that
-    members of one sub-bucket agree in more bits; few free bits bound its size, or blocks of it are compared in turn.
+def forest(values: np.ndarray, members: np.ndarray, radius: int, wide_radius: int, edges: list[tuple[int, int]]) -> None:
+    """Adds edges of a spanning forest of one block's links. Links: first columns within radius, the others within theirs."""
+    rest = members
+    while len(rest) > 1:
+        reached, rest = [int(rest[0])], rest[1:]
+        while reached and len(rest):
+            me = reached.pop()
+            near = np.bitwise_count(values[rest, 0] ^ values[me, 0]) <= radius
+            if values.shape[1] > 1:
+                near &= np.bitwise_count(values[rest, 1:] ^ values[me, 1:]).sum(1, dtype=np.int64) <= wide_radius
+            found = rest[near].tolist()
+            if found:
+                edges += [(me, other) for other in found]
+                reached += found
+                rest = rest[~near]
+
+
+def bucket_edges(values: np.ndarray, free: int, radius: int, wide_radius: int = 0) -> list[tuple[int, int]]:
+    """Edges (positions) that connect what links of a bucket connect.
+
+    `free`: the mask of first-column bits in which members may differ. Large buckets are cut by covering masks over them,
+    so that members of one sub-bucket agree in more bits, until few free bits are left.
     """
-    group, edges = np.arange(len(values)), []
+    edges: list[tuple[int, int]] = []
     todo = [(np.arange(len(values)), free)]
     while todo:
         members, open_bits = todo.pop()
         positions = [b for b in range(BITS) if open_bits >> b & 1]
         if len(members) <= BLOCK or len(positions) <= 2 * radius + 2:
-            _close(values, members, radius, group, edges)
+            forest(values, members, radius, wide_radius, edges)
             continue
         for mask in covering_masks(positions, radius):
-            keys = values[members] & np.uint64(mask)
+            keys = values[members, 0] & np.uint64(mask)
             order = np.argsort(keys, kind="stable")
             cuts = np.flatnonzero(np.diff(keys[order])) + 1
             todo += [(members[g], open_bits & ~mask) for g in np.split(order, cuts) if len(g) > 1]
     return edges
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) that connect all that links within the radius connect."""
+def links(distinct: DataFrame, radius: int, narrow: list[str], wide: list[str], wide_radius: int = 0) -> DataFrame:
+    """Edges (a, b) between nodes that connect all that links connect.
+
+    `distinct`: node and fingerprints, all longs. A link: some column of `narrow` differs in at most `radius` bits and all
+    columns of `wide` together in at most `wide_radius`.
+    """
     masks = covering_masks(list(range(BITS)), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    tables = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed)])
-    buckets = distinct.select("fp", F.explode(tables).alias("b")).select("fp", "b.t", "b.key")
-    spread = buckets.repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+    tables = F.array(*[
+        F.struct(F.lit(k + len(masks) * i).alias("t"), F.col(c).bitwiseAND(F.lit(m)).alias("key"), F.col(c).alias("fp"))
+        for i, c in enumerate(narrow) for k, m in enumerate(signed)
+    ])
+    buckets = distinct.select("node", *wide, F.explode(tables).alias("b")).select("b.*", "node", *wide)
+    spread = buckets.repartition("t", "key").sortWithinPartitions("t", "key", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held = np.zeros((4 + len(wide), 0), np.int64)
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("t", "key", "fp")])
-            held.append(rows)
-            rows = np.concatenate(held, axis=1)
+            rows = np.hstack([held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])])
             cuts = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0)) + 1
-            if not len(cuts):
-                held = [rows]
-                continue
-            held = [rows[:, cuts[-1] :]]
-            yield from emit(rows[:, : cuts[-1]], cuts[:-1])
-        if held:
-            rows = np.concatenate(held, axis=1)
-            yield from emit(rows, np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0)) + 1)
+            whole = cuts[-1] if len(cuts) else 0  # the last bucket may go on in the next batch
+            if whole:
+                yield from emit(rows[:, :whole], cuts[:-1])
+            held = rows[:, whole:]
+        if held.shape[1]:
+            yield from emit(held, np.zeros(0, np.int64))
 
     def emit(rows: np.ndarray, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        fp = rows[2].view(np.uint64) if rows[2].flags.c_contiguous else np.ascontiguousarray(rows[2]).view(np.uint64)
+        values = np.ascontiguousarray(rows[[2, *range(4, len(rows))]].T).view(np.uint64)
         starts, stops = np.r_[0, cuts], np.r_[cuts, rows.shape[1]]
         sizes = stops - starts
-        found: list[np.ndarray] = []
         pair = starts[sizes == 2]
-        pair = pair[np.bitwise_count(fp[pair] ^ fp[pair + 1]) <= radius]
-        found.append(np.stack([fp[pair], fp[pair + 1]]))
+        apart = np.bitwise_count(values[pair] ^ values[pair + 1]).astype(np.int64)
+        pair = pair[(apart[:, 0] <= radius) & (apart[:, 1:].sum(1) <= wide_radius)]
+        found = [np.stack([pair, pair + 1])]
         for a, b in zip(starts[sizes > 2].tolist(), stops[sizes > 2].tolist()):
-            free = ~masks[int(rows[0, a])] & ((1 << 64) - 1)
-            edges = bucket_edges(fp[a:b], free, radius)
+            free = ~masks[int(rows[0, a]) % len(masks)] & ((1 << 64) - 1)
+            edges = bucket_edges(values[a:b], free, radius, wide_radius)
             if edges:
-                at = np.array(edges).T + a
-                found.append(np.stack([fp[at[0]], fp[at[1]]]))
-        got = np.concatenate(found, axis=1).view(np.int64)
-        if got.shape[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["a", "b"])
+                found.append(np.array(edges).T + a)
+        at = np.hstack(found)
+        if at.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(rows[3, at[0]]), pa.array(rows[3, at[1]])], ["a", "b"])
 
     return spread.mapInArrow(run, "a long, b long")
 
@@ -177,25 +193,59 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 4) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links of at most `radius` bits) of every row."""
     prints = stored(fingerprints(docs, words), "fingerprints")
-    first = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    labels = components(stored(links(first.select("fp"), radius), "links"))
+    first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    labels = components(stored(links(first.select("fp", F.col("fp").alias("node")), radius, ["fp"], []), "links"))
     named = first.join(labels, first["fp"] == labels["node"], "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
-    heads = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = stored(named, "named")
+    heads = stored(named.groupBy("label").agg(F.min("first").alias("component_id")), "heads")
     of_print = named.join(heads, "label").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 5, radius: int = 4) -> DataFrame:
-    """The rows of `docs` that stay: of each component the smallest doc_id, one row of it, with all columns.
+def copy_prints(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, f0..f2 (fingerprints of distinct single words, a seed each), w0 and w1 (of shingles of `words` words)."""
 
-    Where every doc_id of a component is null, one of its rows with the least text stays.
-    """
-    found = near_duplicates(docs, words, radius)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("head")).distinct()
-    stays = docs["doc_id"].cast("long").eqNullSafe(heads["head"])
-    return docs.join(heads, stays, "left_semi").dropDuplicates(["doc_id"])
+    def both_halves(raw: list[bytes]) -> tuple[int, int]:
+        halves = np.frombuffer(b"".join(raw), "<u8").reshape(-1, 2)
+        return fingerprint_of(halves[:, 0]), fingerprint_of(halves[:, 1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                got = np.zeros((5, part.num_rows), np.uint64)
+                for row, raw, first, last in word_buffers(part.column("text")):
+                    stops = last[words - 1 :] or last[-1:]
+                    single = {raw[p:q] for p, q in zip(first, last)}
+                    got[:2, row] = both_halves([xxhash.xxh3_128_digest(w) for w in single])
+                    got[2, row] = fingerprint_of(np.array([xxhash.xxh64_intdigest(w, SEED) for w in single], np.uint64))
+                    got[3:, row] = both_halves([xxhash.xxh3_128_digest(raw[p:q]) for p, q in zip(first, stops)])
+                prints = [pa.array(x.view(np.int64)) for x in got]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *prints], ["doc_id", *NARROW, *WIDE])
+
+    fields = ", ".join(f"{c} long" for c in ("doc_id", *NARROW, *WIDE))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, fields)
+
+
+def wide_limit(similarity: float) -> int:
+    """Bits of 128 in which fingerprints of shingle sets of this Jaccard similarity differ at most, but for about one in 100."""
+    shared = 2 * similarity / (1 + similarity)
+    apart = math.acos(shared) / math.pi
+    return int(128 * apart + 2.2 * math.sqrt(128 * apart * (1 - apart)))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
+    """The rows of `docs` that stay: of each group of near copies one row of the smallest doc_id, with all columns."""
+    prints = copy_prints(docs.where("doc_id is not null"), words)
+    nodes = stored(prints.groupBy(*NARROW, *WIDE).agg(F.min("doc_id").alias("node")), "distinct")
+    labels = components(stored(links(nodes, radius, list(NARROW), list(WIDE), wide_limit(similarity)), "links"))
+    others = labels.where("node <> label").select(F.col("node").alias("other"))
+    heads = nodes.join(others, nodes["node"] == others["other"], "left_anti").select(F.col("node").alias("head"))
+    stays = docs["doc_id"].cast("long") == heads["head"]
+    kept = docs.join(heads, stays, "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
