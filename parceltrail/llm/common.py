@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,23 @@ LOWER = UPPER.lower()
 WORD_GAPS = "[ \\t\\n\\x0B\\f\\r]+"
 
 
+_shipped: list[SparkContext] = []
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a session whose launcher didn't (--py-files, PYTHONPATH)."""
+    context = spark.sparkContext
+    if context in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(package.rglob("*.py")):
+            packed.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped[:] = [context]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe, cube_mix, exact_dedup, quality, simhash
+from parceltrail.llm import bpe, cube_mix, exact_dedup, quality, simhash, token_blocks
+from parceltrail.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_blocks": token_blocks.query,
     "op2_exact_dedup": exact_dedup.query,
     "op5_bpe_rounds": bpe.query,
     "op6_simhash_covering": simhash.query,
@@ -17,12 +19,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_token_blocks": token_blocks.query,
     "op2_exact_dedup": exact_dedup.SQL,
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {name: shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
