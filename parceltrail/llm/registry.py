@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe, cube_mix, exact_dedup, license_scan, quality, simhash, token_blocks
+from parceltrail.llm import bpe, cube_mix, exact_dedup, hilbert_ann, license_scan, quality, simhash, token_blocks
 from parceltrail.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.query,
     "op5_bpe_rounds": bpe.query,
     "op6_simhash_covering": simhash.query,
+    "op7_hilbert_ann": hilbert_ann.query,
     "op8_cube_mix": cube_mix.query,
     "op9_quality": quality.query,
     "op10_license_scan": license_scan.query,
