@@ -105,10 +105,15 @@ def covering_masks(bits: list[int], radius: int) -> list[int]:
 
 
 def forest(values: np.ndarray, members: np.ndarray, radius: int, wide_radius: int, edges: list[tuple[int, int]]) -> None:
-    """Adds edges of a spanning forest of one block's links. Links: first columns within radius, the others within theirs."""
+    """Adds a star of edges for each group that links of one block connect, from its first member to the others.
+
+    Links: first columns within radius, the others within theirs. Members ascend, so a group that many buckets hold gets
+    the same star in most of them.
+    """
     rest = members
     while len(rest) > 1:
-        reached, rest = [int(rest[0])], rest[1:]
+        first = int(rest[0])
+        reached, rest = [first], rest[1:]
         while reached and len(rest):
             me = reached.pop()
             near = np.bitwise_count(values[rest, 0] ^ values[me, 0]) <= radius
@@ -116,7 +121,7 @@ def forest(values: np.ndarray, members: np.ndarray, radius: int, wide_radius: in
                 near &= np.bitwise_count(values[rest, 1:] ^ values[me, 1:]).sum(1, dtype=np.int64) <= wide_radius
             found = rest[near].tolist()
             if found:
-                edges += [(me, other) for other in found]
+                edges += [(first, other) for other in found]
                 reached += found
                 rest = rest[~near]
 
