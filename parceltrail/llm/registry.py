@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe, class_lm, cube_mix, exact_dedup, hilbert_ann, license_scan, quality, simhash, token_blocks
+from parceltrail.llm import bpe, class_lm, cube_mix, exact_dedup, hilbert_ann, license_scan, quality, simhash, suffix_dedup, token_blocks
 from parceltrail.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": token_blocks.query,
     "op2_exact_dedup": exact_dedup.query,
+    "op3_suffix_dedup": suffix_dedup.query,
     "op4_class_lm": class_lm.query,
     "op5_bpe_rounds": bpe.query,
     "op6_simhash_covering": simhash.query,
