@@ -31,6 +31,10 @@ class PrefixHash:
     def of(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         return (self.sums[stops] - self.sums[starts]) * self.down[starts]
 
+    def all_of(self, size: int) -> np.ndarray:
+        """Hashes of all pieces of one size, by their starts."""
+        return (self.sums[size:] - self.sums[:-size]) * self.down[: len(self.sums) - size]
+
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads a hash over all 64 bits."""

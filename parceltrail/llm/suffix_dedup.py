@@ -23,6 +23,7 @@ an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import zlib
@@ -38,7 +39,7 @@ from parceltrail.llm.common import byte_view, documents
 from parceltrail.llm.rolling import PrefixHash, mixed
 
 WIDTH, GRAM = 50, 20
-CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 8_000_000, 500_000, 64
+CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 2_000_000, 250_000, 256
 LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 31) - 1)
 
@@ -151,9 +152,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray, hashes: PrefixHash) -> tuple[n
     n = len(data)
     if n < WIDTH:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(n - GRAM + 1)
-    grams = mixed(hashes.of(at, at + GRAM))
-    key = grams & ~_PLACE | at.astype(np.uint64)
+    grams = mixed(hashes.all_of(GRAM))
+    key = grams & ~_PLACE | np.arange(n - GRAM + 1, dtype=np.uint64)
     lowest, covered, reach = key, 1, WIDTH - GRAM + 1
     while covered < reach:
         step = min(covered, reach - covered)
@@ -197,7 +197,10 @@ class Chunk:
         self.data, self.bounds = byte_view(table.column("text"))
         self.rank = table.column("rank").to_numpy().astype(np.int64)
         self.mark = table.column("mark").to_numpy().astype(np.int64)
-        self.hashes = PrefixHash(self.data)
+
+    @functools.cached_property
+    def hashes(self) -> PrefixHash:
+        return PrefixHash(self.data)
 
     def document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, at, side="right") - 1
