@@ -91,7 +91,7 @@ SELECT s_suppkey, low.c_name AS buyer FROM supplier
 LEFT JOIN (SELECT c_nationkey, min(c_name) AS c_name FROM customer GROUP BY 1) AS low ON low.c_nationkey = s_nationkey""")
 def repeated_key_lookup(s: Source) -> DataFrame:
     """A dimension with repeated keys is reduced before the join, so fact rows do not multiply."""
-    rows = lookup(s.supplier, s.customer, {"s_nationkey": "c_nationkey"}, {"buyer": "c_name"}, dedupe=True)
+    rows = lookup(s.supplier, s.customer, {"s_nationkey": "c_nationkey"}, {"buyer": "c_name"})
     return rows.select("s_suppkey", "buyer")
 
 
@@ -311,7 +311,7 @@ def cargo_bag_rollup(s: Source) -> DataFrame:
 SELECT s_suppkey, CASE WHEN s_nationkey = 7 THEN 'MH JAKARTA' ELSE n_name END AS hub FROM supplier
 LEFT JOIN nation ON n_nationkey = s_nationkey""")
 def hub_override(s: Source) -> DataFrame:
-    rows = lookup(s.supplier, s.nation, {"s_nationkey": "n_nationkey"}, {"hub": "n_name"}, dedupe=True)
+    rows = lookup(s.supplier, s.nation, {"s_nationkey": "n_nationkey"}, {"hub": "n_name"})
     hub = F.when(F.col("s_nationkey") == 7, "MH JAKARTA").otherwise(F.col("hub"))
     return rows.select("s_suppkey", hub.alias("hub"))
 

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Sequence
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parceltrail import plans
 from parceltrail.functions.clock import DEFAULT_ZONE, Clock
+from parceltrail.functions.pickup import SELLER_PORTAL
+from parceltrail.plans.dwell import MART_DATE
 from parceltrail.session import prepare
 from parceltrail.sources.tables import Tables, read_mart, read_sheet, write_mart
 
@@ -36,32 +39,48 @@ REPORTS: dict[str, tuple[Callable[[Tables, Clock, Stored, argparse.Namespace], D
     "return_backlog": (lambda t, c, stored, o: plans.return_backlog(t, c), "return_regist_time"),
     "vip_revenue": (lambda t, c, stored, o: plans.vip_revenue(t, c), "shipping_date"),
     "seller_performance": (
-        lambda t, c, stored, o: plans.seller_performance(t, c, username=o.username),
+        lambda t, c, stored, o: plans.seller_performance(t, c, source=o.source, username=o.username),
         "input_time",
     ),
-    "vip_problem_check": (lambda t, c, stored, o: plans.vip_problem_check(t, c), None),
-    "cargo_base": (lambda t, c, stored, o: plans.cargo_base(t, tz=c.tz, ordered=False), "record_time"),
+    "vip_problem_check": (lambda t, c, stored, o: plans.vip_problem_check(t, c, min_problems=o.min_problems), None),
+    "cargo_base": (lambda t, c, stored, o: plans.cargo_base(t, period(o), c.tz, ordered=False), "record_time"),
     "cargo_hubs": (lambda t, c, stored, o: plans.cargo_hubs(t), None),
-    "cargo_bags": (lambda t, c, stored, o: plans.cargo_bags(stored("cargo_hubs"), stored("cargo_base")), None),
+    "cargo_bags": (
+        lambda t, c, stored, o: plans.cargo_bags(stored("cargo_hubs"), stored("cargo_base").drop(PARTITION)),
+        None,
+    ),
     "cargo_parcels": (
-        lambda t, c, stored, o: plans.cargo_parcels(t["smu_template_2"], stored("cargo_base")),
+        lambda t, c, stored, o: plans.cargo_parcels(t["smu_template_2"], stored("cargo_base").drop(PARTITION)),
         None,
     ),
 }
-PARTITION = "mart_date"
+PARTITION = MART_DATE
+
+
+def period(options: argparse.Namespace) -> plans.CargoPeriod:
+    """The cargo period: the days given, the others as they are by default."""
+    given = {f.name: getattr(options, f.name) for f in fields(plans.CargoPeriod) if getattr(options, f.name)}
+    return plans.CargoPeriod(**given)
+
+
+def tables(spark: SparkSession, options: argparse.Namespace) -> Tables:
+    """The input tables, each read when the report asks for it."""
+    dated = dict(pair.split("=", 1) for pair in options.dated)
+    t = Tables.from_parquet(spark, options.tables, dated=dated) if options.tables else Tables({})
+    for name, frame in Tables.from_catalog(spark, dict(pair.split("=", 1) for pair in options.catalog)).sources():
+        t = t.with_table(name, frame)
+    return t.with_table("smu_template_2", lambda: read_sheet(spark, options.sheet)) if options.sheet else t
 
 
 def run(spark: SparkSession, name: str, options: argparse.Namespace) -> None:
     prepare(spark)
     clock = Clock.at(options.as_of, options.zone) if options.as_of else Clock.now(options.zone)
-    t = Tables.from_parquet(spark, options.tables)
-    if options.sheet:
-        t = t.with_table("smu_template_2", read_sheet(spark, options.sheet))
+    t = tables(spark, options)
     if options.check_keys:
         t.check_unique()
 
     def stored(mart: str) -> DataFrame:
-        return read_mart(spark, f"{options.marts}/{mart}").drop(PARTITION)
+        return read_mart(spark, f"{options.marts}/{mart}")
 
     report, day = REPORTS[name]
     rows = report(t, clock, stored, options)
@@ -73,12 +92,20 @@ def run(spark: SparkSession, name: str, options: argparse.Namespace) -> None:
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("report", choices=sorted(REPORTS))
-    parser.add_argument("--tables", required=True, help="folder with one Parquet folder per table")
+    parser.add_argument("--tables", help="folder with one Parquet folder per table")
+    parser.add_argument("--catalog", action="append", default=[], metavar="NAME=TABLE", help="catalog table for an input")
+    parser.add_argument(
+        "--dated", action="append", default=[], metavar="NAME=TIME", help="input partitioned by the UTC date of a time"
+    )
     parser.add_argument("--marts", required=True, help="folder the marts are stored in")
     parser.add_argument("--as-of", help="ISO instant the report is for; default now")
     parser.add_argument("--zone", default=DEFAULT_ZONE)
     parser.add_argument("--sheet", help="CSV export of the cargo sheet")
     parser.add_argument("--username", help="seller account of the seller report; all accounts without it")
+    parser.add_argument("--source", default=SELLER_PORTAL, help="order source of the seller report")
+    parser.add_argument("--min-problems", type=int, default=2, help="problem scans from which a parcel is reported")
+    for field in fields(plans.CargoPeriod):
+        parser.add_argument(f"--{field.name.replace('_', '-')}", help=f"cargo period, UTC day; default {field.default}")
     parser.add_argument("--check-keys", action="store_true", help="fail on dimensions with repeated keys")
     options = parser.parse_args(arguments)
     run(SparkSession.builder.appName(f"parceltrail {options.report}").getOrCreate(), options.report, options)

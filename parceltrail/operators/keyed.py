@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-from parceltrail.operators.skew import HOT_ROWS, split_hot
+from parceltrail.operators.skew import split_hot
 
 
 def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
@@ -46,9 +47,13 @@ def group_once(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> D
     return df.groupBy(*keys).agg(*[F.sum(c).alias(out) for out, c in sums.items()])
 
 
-def _bucketed(df: DataFrame, order: str, bucket: Column | None) -> DataFrame:
+def _bucketed(df: DataFrame, keys: Sequence[str], order: str, bucket: Column | None) -> DataFrame:
+    """Rows with their time bucket (a whole hour unless given), dealt out by key and bucket.
+
+    The exchange is asked for: rows that come partitioned by the key alone would satisfy a window by key and bucket.
+    """
     whole_hour = F.date_trunc("HOUR", F.col(order).cast("timestamp"))
-    return df.withColumn("__bucket", whole_hour if bucket is None else bucket)
+    return df.withColumn("__bucket", whole_hour if bucket is None else bucket).repartition(*keys, "__bucket")
 
 
 def running_extreme(
@@ -56,7 +61,7 @@ def running_extreme(
     keys: Sequence[str],
     order: str,
     outputs: Mapping[str, tuple[str, str]],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Running minimum (rows in ascending order) or maximum (descending order) of columns, peers included.
@@ -78,7 +83,9 @@ def running_extreme(
         )
 
     cold, hot = split_hot(df, keys, hot_rows)
-    hot = _bucketed(hot, order, bucket)
+    if hot is None:
+        return running(cold, keys)
+    hot = _bucketed(hot, keys, order, bucket)
     totals = hot.groupBy(*keys, "__bucket").agg(
         *[function[kind](column).alias(f"__t_{out}") for out, (column, kind) in outputs.items()]
     )
@@ -110,7 +117,7 @@ def attempt_rank(
     keys: Sequence[str],
     order: str,
     out: str,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Attempt number by ascending time; equal times share a number and leave a gap.
@@ -119,7 +126,10 @@ def attempt_rank(
     """
     by_time = F.col(order).asc_nulls_first()
     cold, hot = split_hot(df, keys, hot_rows)
-    hot = _bucketed(hot, order, bucket)
+    plain = cold.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(by_time)).cast("bigint"))
+    if hot is None:
+        return plain
+    hot = _bucketed(hot, keys, order, bucket)
     before = Window.partitionBy(*keys).orderBy(F.col("__bucket").asc_nulls_first())
     carried = (
         hot.groupBy(*keys, "__bucket")
@@ -130,7 +140,6 @@ def attempt_rank(
     spread = _join_carry(hot, carried, [*keys, "__bucket"]).withColumn(
         out, F.rank().over(Window.partitionBy(*keys, "__bucket").orderBy(by_time)) + F.col("__before")
     )
-    plain = cold.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(by_time)).cast("bigint"))
     return plain.unionByName(spread.drop("__bucket", "__before"))
 
 
@@ -165,7 +174,7 @@ def neighbours(
     order: Sequence[str],
     lags: Mapping[str, tuple[str, int]],
     leads: Mapping[str, tuple[str, int]],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     bucket: Column | None = None,
     counted: DataFrame | None = None,
 ) -> DataFrame:
@@ -175,22 +184,35 @@ def neighbours(
     total order. Hot keys are split by time bucket; rows within reach of a bucket's edge take their neighbours from
     a second window over the edge rows only.
     """
-    by = [F.col(c).asc_nulls_first() for c in order]
-    reach = max([n for _, n in [*lags.values(), *leads.values()]])
+    cold, hot = split_hot(df, keys, hot_rows, counted)
+    near = _shifted(cold, Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]), lags, leads)
+    return near if hot is None else near.unionByName(neighbours_split(hot, keys, order, lags, leads, bucket))
 
-    def shifted(rows: DataFrame, window) -> DataFrame:
-        return rows.withColumns(
-            {
-                **{out: F.lag(c, n).over(window) for out, (c, n) in lags.items()},
-                **{out: F.lead(c, n).over(window) for out, (c, n) in leads.items()},
-            }
-        )
 
-    cold, hot = split_hot(df, keys, hot_rows, counted)
-    cold = shifted(cold, Window.partitionBy(*keys).orderBy(*by))
+def _shifted(
+    rows: DataFrame, window: WindowSpec, lags: Mapping[str, tuple[str, int]], leads: Mapping[str, tuple[str, int]]
+) -> DataFrame:
+    return rows.withColumns(
+        {
+            **{out: F.lag(c, n).over(window) for out, (c, n) in lags.items()},
+            **{out: F.lead(c, n).over(window) for out, (c, n) in leads.items()},
+        }
+    )
+
 
+def neighbours_split(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    lags: Mapping[str, tuple[str, int]],
+    leads: Mapping[str, tuple[str, int]],
+    bucket: Column | None = None,
+) -> DataFrame:
+    """`neighbours` with every key split by time bucket."""
+    by = [F.col(c).asc_nulls_first() for c in order]
+    reach = max([n for _, n in [*lags.values(), *leads.values()]])
     inside = Window.partitionBy(*keys, "__bucket").orderBy(*by)
-    placed = shifted(_bucketed(hot, order[0], bucket), inside).withColumns(
+    placed = _shifted(_bucketed(df, keys, order[0], bucket), inside, lags, leads).withColumns(
         {
             "__pos": F.row_number().over(inside),
             "__left": F.count(F.lit(1)).over(Window.partitionBy(*keys, "__bucket")),
@@ -214,4 +236,4 @@ def neighbours(
             **{o: F.when(F.col("__left") >= n, F.col(o)).otherwise(F.col(f"__x_{o}")) for o, (_, n) in leads.items()},
         }
     ).drop(*work, *[f"__x_{o}" for o in [*lags, *leads]])
-    return cold.unionByName(middle).unionByName(edges)
+    return middle.unionByName(edges)

@@ -1,7 +1,9 @@
 """Dimension lookups.
 
-No join here carries a broadcast hint: Spark broadcasts a dimension when its measured size is under the threshold,
-and otherwise shuffles, where AQE splits skewed partitions of the preserved left side.
+A dimension is reduced to one row per key before it is joined, so fact rows never multiply. Lookups carry no broadcast
+hint: Spark broadcasts a dimension when its measured size is under the threshold, and otherwise shuffles, where AQE splits
+skewed partitions of the preserved left side. The labels of one kind of code are a few rows of a table that may be larger;
+they are broadcast once their size is known to be bounded.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.values import joined
 
-MAX_BROADCAST_KEYS = 1_000_000
+# Labels of one kind of code are broadcast if the option table is no larger than this, or has so few of them.
+MAX_OPTION_BYTES = 32 << 20
+MAX_LABELS = 100_000
 
 
 def _one_row_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -26,16 +30,16 @@ def lookup(
     dim: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
-    dedupe: bool = False,
     how: str = "left",
+    bounded: bool = False,
 ) -> DataFrame:
-    """Add columns of the dimension row with the same key.
+    """Add columns of the dimension row with the same key; of rows that repeat a key, of the smallest.
 
-    `on` maps columns of `df` to key columns of `dim`; `take` maps new column names to columns of `dim`. `dedupe`
-    first reduces a dimension with repeated keys to its smallest row per key, so the fact rows never multiply.
+    `on` maps columns of `df` to key columns of `dim`; `take` maps new column names to columns of `dim`. `bounded` says
+    that the dimension's size has been checked and it may be broadcast.
     """
-    if dedupe:
-        dim = _one_row_per_key(dim, list(on.values()), sorted(set(take.values())))
+    dim = _one_row_per_key(dim, list(on.values()), sorted(set(take.values())))
+    dim = F.broadcast(dim) if bounded else dim
     keys = {f"__k{i}": dim_key for i, dim_key in enumerate(on.values())}
     values = {f"__v{i}": column for i, column in enumerate(take.values())}
     right = dim.selectExpr(*[f"`{c}` AS {alias}" for alias, c in {**keys, **values}.items()])
@@ -53,7 +57,13 @@ def lookup_roles(df: DataFrame, dim: DataFrame, roles: Sequence[tuple[Mapping[st
 def decode(df: DataFrame, options: DataFrame, code: str, type_option: str, out: str, how: str = "left") -> DataFrame:
     """Label of a code from the (type_option, option_value, option_name) dimension."""
     labels = options.where(f"type_option = '{type_option}'")
-    return lookup(df, labels, {code: "option_value"}, {out: "option_name"}, how=how)
+    return lookup(df, labels, {code: "option_value"}, {out: "option_name"}, how=how, bounded=_few(options, labels))
+
+
+def _few(options: DataFrame, labels: DataFrame) -> bool:
+    """True if the labels' size is bounded: by the planner's size of their whole table, else by a bounded count."""
+    size = int(str(options._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= MAX_OPTION_BYTES or labels.limit(MAX_LABELS + 1).count() <= MAX_LABELS
 
 
 def decode_all(df: DataFrame, options: DataFrame, codes: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -77,24 +87,12 @@ def with_value(df: DataFrame, right: DataFrame, key: str, value: str) -> DataFra
 
 
 def having_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is listed; rows with a NULL key are dropped."""
-    return df.join(keys.select(key), key, "left_semi")
-
+    """Rows whose key is listed; rows with a NULL key are dropped.
 
-def small_list(keys: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame | None:
-    """The distinct keys marked for broadcast if there are at most `max_keys` of them, else None.
-
-    For cutting a log down before it is grouped, where a later join removes the other keys anyway: a shuffled semi
-    join would move every raw row and put a hot key into one task, so a long list is better not applied at all. Runs
-    one bounded count.
+    The list carries no hint: Spark broadcasts it by its measured size, and otherwise both sides are partitioned by the
+    key, which AQE splits where a key is hot and a later grouping by the key uses again.
     """
-    listed = keys.distinct()
-    return F.broadcast(listed) if listed.limit(max_keys + 1).count() <= max_keys else None
-
-
-def listed_only(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
-    """Rows whose key is in a list from `small_list`; all rows without a list."""
-    return df if keys is None else having_key(df, keys, key)
+    return df.join(keys.select(key), key, "left_semi")
 
 
 def left_join_heavy_right(left: DataFrame, right: DataFrame, test_left: str, test_right: str) -> DataFrame:

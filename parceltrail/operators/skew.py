@@ -1,8 +1,9 @@
 """Routing of hot keys.
 
-A window needs all rows of its key in one task. Keys that hold a large share of a table are found with one
-pre-aggregated pass over the key columns and sent down a second path that splits them by time bucket. The routing
-changes only the physical plan: both paths return the same rows.
+A window needs all rows of its key in one task. Where a log has keys too large for that, an operator given `hot_rows`
+counts rows per key in one pre-aggregated pass over the key columns and sends every key of at least that many rows down a
+second path, which splits it by time bucket. The routing changes only the physical plan: both paths return the same
+rows. By default nothing is counted and there is one path.
 """
 
 from __future__ import annotations
@@ -13,39 +14,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[f"__hot_{k}"]) for k in keys))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys with at least `min_rows` rows, at most MAX_HOT_KEYS of them.
-
-    A key beyond the largest MAX_HOT_KEYS holds less than 1/MAX_HOT_KEYS of the rows and needs no splitting.
-    """
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """All keys with at least `min_rows` rows."""
     return (
         df.groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys])
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") >= min_rows)
-        .orderBy(F.col("__n").desc())
-        .limit(MAX_HOT_KEYS)
         .drop("__n")
     )
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], min_rows: int | None = HOT_ROWS, counted: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); NULL keys are keys as well.
+    df: DataFrame, keys: Sequence[str], min_rows: int | None, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys or None); NULL keys are keys as well.
 
-    `counted` is a cheaper frame to count the keys in, such as the table before its joins. The hot-key list is
-    broadcast: it never has more than MAX_HOT_KEYS rows. Without `min_rows` nothing is counted and no key is hot.
+    `counted` is a cheaper frame to count the keys in, such as the table before its joins. Spark broadcasts the list of
+    hot keys by its measured size; otherwise both joins shuffle, where AQE splits the partitions of hot keys. Without
+    `min_rows` nothing is counted and no key is hot.
     """
     if min_rows is None:
-        return df, df.limit(0)
-    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, min_rows))
+        return df, None
+    hot = hot_keys(df if counted is None else counted, keys, min_rows)
     test = _same_keys(df, hot, keys)
     return df.join(hot, test, "left_anti"), df.join(hot, test, "left_semi")

@@ -11,7 +11,7 @@ from parceltrail.functions.clock import DEFAULT_ZONE, local_date, sheet_date, ut
 from parceltrail.functions.values import joined, numeric
 from parceltrail.operators.lookup import decode, left_join_heavy_right, lookup
 from parceltrail.operators.summary import at_earliest, at_latest
-from parceltrail.plans.parts import BAG_ARRIVED, BAG_SENT, KEY, current_waybills
+from parceltrail.plans.parts import BAG_ARRIVED, BAG_SENT, KEY, current_waybills, dated_rows
 from parceltrail.sources.tables import Tables
 
 # Text that marks a main hub, and the code whose hub name is set by hand.
@@ -55,9 +55,9 @@ def bag_scans(t: Tables, period: CargoPeriod, tz: str = DEFAULT_ZONE) -> DataFra
     One grouped pass replaces a self-join of the scan log per role. A parcel scanned in several hubs takes the
     earliest sending and the latest arrival.
     """
-    scans = t["waybill_waybill_line"].where(
-        utc_range("record_time", min(period.first, period.sending_first), period.last)
-        & F.col(KEY).isNotNull()
+    log = dated_rows(t["waybill_waybill_line"], "record_time", min(period.first, period.sending_first), period.last)
+    scans = log.where(
+        F.col(KEY).isNotNull()
         & (F.col("bag_no") != "")
         & F.col("vehicle_tag_no").isNotNull()
     )
@@ -84,11 +84,8 @@ def bag_scans(t: Tables, period: CargoPeriod, tz: str = DEFAULT_ZONE) -> DataFra
 
 
 def shipped_parcels(t: Tables, period: CargoPeriod, tz: str = DEFAULT_ZONE) -> DataFrame:
-    rows = t["waybill_waybill"].where(
-        utc_range("shipping_time", period.shipped_first, period.shipped_last)
-        & (F.col("deleted") == "0")
-        & F.col(KEY).isNotNull()
-    )
+    rows = dated_rows(t["waybill_waybill"], "shipping_time", period.shipped_first, period.shipped_last)
+    rows = rows.where((F.col("deleted") == "0") & F.col(KEY).isNotNull())
     rows = decode(current_waybills(rows), t["system_option"], "express_type", "expressType", "express_type")
     return rows.select(
         KEY,
@@ -134,7 +131,7 @@ def cargo_hubs(t: Tables) -> DataFrame:
     """Sheet rows with the names of the sending and arrival hubs."""
     rows = sheet_rows(t["smu_template_2"])
     for out, code in {"mh_sending_join": "origin", "mh_arrival_join": "destination_by_issued"}.items():
-        rows = lookup(rows, t["a_mh_facility_name_rnd"], {code: "mh_code"}, {out: "mh_name"}, dedupe=True)
+        rows = lookup(rows, t["a_mh_facility_name_rnd"], {code: "mh_code"}, {out: "mh_name"})
         rows = rows.withColumn(out, F.when(F.col(code) == OVERRIDE_CODE, OVERRIDE_HUB).otherwise(F.col(out)))
     return rows
 

@@ -60,7 +60,7 @@ def _ledger(t: Tables, rows: DataFrame, branch_id: str, names: dict[str, str], m
         {"branch_no": "branch_no", "branch_level": "branch_level", "__city": "city_id"},
     )
     rows = decode(rows, t["system_option"], "branch_level", "branchLevel", "branch_level")
-    rows = lookup(rows, t["res_area"], {"__city": "city_id"}, {"province_name": "province_name"}, dedupe=True)
+    rows = lookup(rows, t["res_area"], {"__city": "city_id"}, {"province_name": "province_name"})
     rows = region_of(rows, t, {"__region": "province_name"})
     accounts = t["res_user"].where(F.col("deleted") == "0")
     rows = lookup(rows, accounts, {"courier_id": "id"}, {"personnel_no": "personnel_no", "enabled": "enabled"})

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.clock import Clock, band, date_of, days_between, local_dt
 from parceltrail.functions.values import joined
-from parceltrail.operators.keyed import neighbours
+from parceltrail.operators.keyed import neighbours, neighbours_split
 from parceltrail.operators.lookup import decode, with_value, without_value
 from parceltrail.operators.segments import branch_stays, longest_stays
 from parceltrail.operators.sets import stack_rows
-from parceltrail.operators.skew import HOT_ROWS
+from parceltrail.operators.skew import split_hot
 from parceltrail.operators.summary import at_latest, summarise
 from parceltrail.plans.parts import KEY, current_waybills, recent_rows, recent_scans
 from parceltrail.sources.tables import Tables
@@ -19,6 +19,7 @@ from parceltrail.sources.tables import Tables
 LOOK_BACK = 93
 TOP = 3
 MIN_DAYS = 14
+MART_DATE = "mart_date"
 
 # Operations that do not open or close a stay.
 NOT_OPENING = "Pickup Failure"
@@ -94,23 +95,29 @@ def _halves(returned: bool) -> tuple[dict[str, tuple[Column, Column]], Column]:
     return halves, before_last if returned else after
 
 
-def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = None) -> DataFrame:
+    """Branch stays of the parcels. With `hot_rows`, scans of larger parcels are split by parcel and time bucket.
+
+    Neighbours depend on a parcel's scans alone, so hot parcels get them before they meet the parcel table.
+    """
     scans = recent_scans(t, LOOK_BACK, clock).select(
         KEY,
         "record_time",
         F.col("operation_branch_name").alias("branch"),
         F.col("operation_label").alias("operation"),
     )
-    rows = scans.join(parcels(t, clock, returned), KEY)
-    rows = neighbours(
-        rows,
+    path = (
         [KEY],
         ["record_time", "operation", "branch"],
         {"previous_branch_name_1": ("branch", 1), "previous_branch_name_2": ("branch", 2)},
         {"next_branch_name": ("branch", 1)},
-        hot_rows=hot_rows,
-        counted=recent_rows(t["waybill_waybill_line"], LOOK_BACK, clock, "record_time"),
     )
+    of_report = parcels(t, clock, returned)
+    counted = recent_rows(t["waybill_waybill_line"], LOOK_BACK, clock, "record_time")
+    scans, hot = split_hot(scans, [KEY], hot_rows, counted)
+    rows = neighbours(scans.join(of_report, KEY), *path)
+    if hot is not None:
+        rows = rows.unionByName(neighbours_split(hot, *path).join(of_report, KEY))
     halves, label = _halves(returned)
     rows = rows.withColumn("side", label)
     return branch_stays(
@@ -124,7 +131,7 @@ def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None
     )
 
 
-def longest_dwell(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def longest_dwell(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Top stays of at least 14 started days per parcel, forward and return halves ranked together."""
     rows = stays(t, clock, returned, hot_rows)
     side = F.when(F.col("half") == "out", F.col("last_side")).when(F.col("last_time").isNotNull(), RETURN_HALF)
@@ -156,9 +163,14 @@ def longest_dwell(t: Tables, clock: Clock, returned: bool = False, hot_rows: int
 
 
 def longest_dwell_union(forward: DataFrame, returned: DataFrame, clock: Clock) -> DataFrame:
-    """Both stored dwell marts, for parcels shipped 78 to 93 days ago."""
+    """Both stored dwell marts, for parcels shipped 78 to 93 days ago.
+
+    A mart with its partition column (MART_DATE, the date of `shipping_time`) is read from those partitions only.
+    """
 
     def part(mart: DataFrame) -> DataFrame:
+        if MART_DATE in mart.columns:
+            mart = mart.where(band(MART_DATE, 93, 78, clock)).drop(MART_DATE)
         rows = mart.where(
             band(date_of("shipping_time"), 93, 78, clock) & F.col("first_scan_time_branch").isNotNull()
         )

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.functions.clock import Clock, local_dt, recent
+from parceltrail.functions.clock import Clock, local_dt, recent, utc_range
 from parceltrail.operators.keyed import latest_per_key
 from parceltrail.operators.lookup import decode, lookup
 from parceltrail.operators.summary import at_earliest, at_latest, count_where
-from parceltrail.sources.tables import Tables
+from parceltrail.sources.tables import Tables, utc_date_column
 
 # Operation and problem codes of the scan log.
 DELIVERY_ATTEMPT = "09"
@@ -36,7 +36,16 @@ def all_of(*tests: Column) -> Column:
 
 
 def recent_rows(df: DataFrame, days: int, clock: Clock, *times: str) -> DataFrame:
-    return df.where(all_of(*[recent(c, days, clock) for c in times]))
+    """Rows in the look-back. A date partition of one of the times (see Tables.from_parquet) bounds what is read."""
+    dates = {c: utc_date_column(c) for c in times if utc_date_column(c) in df.columns}
+    return df.where(all_of(*[recent(c, days, clock, dates.get(c)) for c in times])).drop(*dates.values())
+
+
+def dated_rows(df: DataFrame, time: str, first: str, last: str) -> DataFrame:
+    """Rows of a closed UTC date range, read from its date partitions if the table has them."""
+    date = utc_date_column(time)
+    rows = df.where(utc_range(time, first, last))
+    return rows.where(F.col(date).between(F.lit(first), F.lit(last))).drop(date) if date in df.columns else rows
 
 
 def current_orders(rows: DataFrame, by: str) -> DataFrame:

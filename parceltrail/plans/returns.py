@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parceltrail.functions.clock import Clock, days_between
 from parceltrail.functions.status import CONFIRM_BACKLOG, RETURN_BACKLOG, backlog_bucket, return_state
 from parceltrail.functions.values import flag
-from parceltrail.operators.lookup import decode, decode_all, listed_only, lookup, small_list
+from parceltrail.operators.lookup import decode, decode_all, having_key, lookup
 from parceltrail.plans.parts import KEY, current_returns, current_waybills, recent_rows, region_of, walls
 from parceltrail.sources.tables import Tables
 
@@ -92,13 +92,13 @@ def open_returns(t: Tables, clock: Clock) -> DataFrame:
 def return_backlog(t: Tables, clock: Clock) -> DataFrame:
     """One row per parcel in return, with backlog state, aging against the UTC today, and aging buckets.
 
-    Only parcels with an open return are deduplicated, if those are few enough to broadcast.
+    Versions of parcels without an open return leave before the newest is picked.
     """
     waybills = recent_rows(t["waybill_waybill"], LOOK_BACK, clock, "update_time").where(
         (F.col("void_flag") == "0") & (F.col("deleted") == "0")
     )
     bills = open_returns(t, clock)
-    waybills = listed_only(waybills.drop("return_pod_record_time"), small_list(bills.select(KEY)), KEY)
+    waybills = having_key(waybills.drop("return_pod_record_time"), bills.select(KEY), KEY)
     rows = current_waybills(waybills).join(bills, KEY)
     rows = decode_all(
         rows,

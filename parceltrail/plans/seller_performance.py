@@ -10,7 +10,7 @@ from parceltrail.functions.clock import Clock, local_date, past_cutoff
 from parceltrail.functions.status import seller_final_status, seller_status
 from parceltrail.functions.values import safe_int
 from parceltrail.operators.keyed import latest_per_key
-from parceltrail.operators.lookup import decode_all, having_key, listed_only, lookup, small_list
+from parceltrail.operators.lookup import decode_all, having_key, lookup
 from parceltrail.operators.merge import merge, only_left, only_right, prefer_left, right_once_set
 from parceltrail.operators.summary import at_latest, attach, summarise
 from parceltrail.plans.parts import (
@@ -215,13 +215,21 @@ SUMMARIES = [
 ]
 
 
-def seller_keys(t: Tables, username: str) -> DataFrame:
-    """Parcels that any version of an order or waybill assigns to the seller: a superset of the report's parcels."""
-    parts = [
-        t[name].where((F.col("parent_shipping_cleint") == username) & F.col(KEY).isNotNull()).select(KEY)
-        for name in ("order_order", "waybill_waybill")
+def seller_keys(t: Tables, clock: Clock, username: str) -> DataFrame:
+    """Parcels that any recent version of an order or waybill assigns to the seller: a superset of the report's.
+
+    Only recent versions can be picked as the current one, so older ones needn't be read.
+    """
+    recent = [
+        recent_rows(t["order_order"], LOOK_BACK, clock, "input_time"),
+        recent_rows(t["waybill_waybill"], LOOK_BACK, clock, "shipping_time", "update_time"),
     ]
-    return parts[0].unionByName(parts[1])
+    parts = [r.where((F.col("parent_shipping_cleint") == username) & F.col(KEY).isNotNull()).select(KEY) for r in recent]
+    return parts[0].unionByName(parts[1]).distinct()
+
+
+def _of(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
+    return rows if keys is None else having_key(rows, keys, KEY)
 
 
 def orders(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
@@ -346,10 +354,10 @@ def current_prices(t: Tables, clock: Clock) -> DataFrame:
 
 def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadline: bool = False) -> DataFrame:
     """Current parcels with delivery results and their newest undeleted return bill."""
-    rows = recent_rows(listed_only(t["waybill_waybill"], keys, KEY), LOOK_BACK, clock, "shipping_time", "update_time")
+    rows = _of(recent_rows(t["waybill_waybill"], LOOK_BACK, clock, "shipping_time", "update_time"), keys)
     rows = current_waybills(rows)
-    bills = listed_only(t["waybill_return_bill"].where(F.col("deleted") == "0"), keys, KEY)
-    bills = current_returns(recent_rows(bills, LOOK_BACK, clock, "update_time")).select(
+    bills = recent_rows(t["waybill_return_bill"].where(F.col("deleted") == "0"), LOOK_BACK, clock, "update_time")
+    bills = current_returns(_of(bills, keys)).select(
         KEY,
         "return_type_id",
         "return_branch_name",
@@ -435,7 +443,7 @@ def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadl
 
 def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     """Last problem per parcel, the late reason drawn from it, and its classes."""
-    rows = listed_only(recent_problems(t, LOOK_BACK, clock), keys, KEY)
+    rows = _of(recent_problems(t, LOOK_BACK, clock), keys)
     time = F.col("operation_time")
     rows = summarise(
         rows,
@@ -446,8 +454,8 @@ def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFram
             "problem_type": at_latest(time, F.col("problem_label")),
         },
     ).withColumns(walls(clock, "recording_time_pos"))
-    partner = listed_only(t["mitra_late_reason_delivery"], keys, KEY)
-    rows = lookup(rows, partner, {KEY: KEY}, {"__partner": "late_delivery_reason"}, dedupe=True)
+    partner = _of(t["mitra_late_reason_delivery"], keys)
+    rows = lookup(rows, partner, {KEY: KEY}, {"__partner": "late_delivery_reason"})
     rows = rows.withColumn("late_reason", reasons.late_reason(F.col("__reason"), F.col("__partner")))
     reason = F.col("late_reason")
     return rows.withColumns(
@@ -462,7 +470,7 @@ def problems(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFram
 
 def problem_counts(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     scans = t["waybill_waybill_line"].where((F.col("operation_type") == PROBLEM_SCAN) & F.col(KEY).isNotNull())
-    scans = listed_only(recent_rows(scans, LOOK_BACK, clock, "record_time"), keys, KEY)
+    scans = _of(recent_rows(scans, LOOK_BACK, clock, "record_time"), keys)
     return summarise(scans, [KEY], {"count_pos": F.count("record_time")})
 
 
@@ -475,13 +483,12 @@ def seller_performance(
 ) -> DataFrame:
     """One row per order or parcel of a source, and of one seller account unless `username` is None.
 
-    For one seller every table is first cut down to the parcels any version of which names the seller, unless there
-    are too many to broadcast. Rows without an order never carry an account name, so one seller's report needs only
+    For one seller every table is first cut down to the parcels a recent version of which names the seller. Rows without an order never carry an account name, so one seller's report needs only
     the orders' side of the merge.
 
     The summaries are attached before the merge, while the rows are still partitioned by the parcel number.
     """
-    keys = None if username is None else small_list(seller_keys(t, username))
+    keys = None if username is None else seller_keys(t, clock, username)
     summaries = [problems(t, clock, keys), problem_counts(t, clock, keys)]
     rows = attach(orders(t, clock, keys), summaries, KEY)
     parcels = waybills(t, clock, keys, local_deadline)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parceltrail.functions.clock import Clock, local_dt
@@ -10,7 +10,7 @@ from parceltrail.functions.delivery import SIGNED
 from parceltrail.functions.pickup import SELLER_PORTAL
 from parceltrail.functions.status import RETURN_RECEIVED
 from parceltrail.operators.keyed import attempt_pivot
-from parceltrail.operators.lookup import decode_all, listed_only, small_list
+from parceltrail.operators.lookup import decode_all, having_key
 from parceltrail.operators.summary import at_latest, attach, count_where, summarise
 from parceltrail.plans.parts import (
     DELIVERY_ATTEMPT,
@@ -72,36 +72,41 @@ def open_vip_versions(t: Tables, clock: Clock) -> DataFrame:
 def vip_problem_check(t: Tables, clock: Clock, min_problems: int = 2) -> DataFrame:
     """One row per open parcel with at least `min_problems` problem scans.
 
-    The logs are cut down to the open parcels before they are summarised, if those are few enough to broadcast.
+    The logs are cut down to the open parcels before they are summarised. The scan log is read once: its rows are folded
+    by parcel and time, which keeps what counts, last place and attempt numbers need.
     """
     versions = open_vip_versions(t, clock)
     base = current_waybills(versions)
-    keys = small_list(versions.select(KEY))
-    scans = listed_only(recent_scans(t, LOOK_BACK, clock), keys, KEY)
-    problems = listed_only(recent_problems(t, LOOK_BACK, clock), keys, KEY)
+    keys = base.select(KEY)
+    scans = having_key(recent_scans(t, LOOK_BACK, clock), keys, KEY)
+    problems = having_key(recent_problems(t, LOOK_BACK, clock), keys, KEY)
 
     is_problem = F.col("operation_type") == PROBLEM_SCAN
     is_attempt = F.col("operation_type") == DELIVERY_ATTEMPT
-    per_scan = summarise(
+    folded = summarise(
         scans,
-        [KEY],
+        [KEY, "record_time"],
         {
-            "last_location": at_latest(F.col("record_time"), F.col("operation_branch_name")),
-            "count_pos_attempt": count_where(is_problem),
-            "count_deliv_attempt": count_where(is_attempt, F.col("operation_label")),
+            "__place": F.max("operation_branch_name"),
+            "__problems": count_where(is_problem),
+            "__labels": count_where(is_attempt, F.col("operation_label")),
             "__attempts": count_where(is_attempt),
         },
-    ).where(F.col("count_pos_attempt") >= min_problems)
-    per_scan = per_scan.withColumn(
-        "count_deliv_attempt", F.when(F.col("__attempts") > 0, F.col("count_deliv_attempt"))
-    ).drop("__attempts")
-    deliveries = attempt_pivot(
-        scans.where(is_attempt).withColumn("record_time", local_dt("record_time", clock.tz)),
-        [KEY],
-        "record_time",
-        ATTEMPTS,
-        {"deliv_attempt": "record_time"},
     )
+    earlier = Window.partitionBy(KEY).orderBy("record_time").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.coalesce(F.sum("__attempts").over(earlier), F.lit(0)) + 1
+    attempted = F.sum("__attempts") > 0
+    at = F.when(F.col("__attempts") > 0, local_dt("record_time", clock.tz))
+    per_scan = summarise(
+        folded.withColumn("__number", number),
+        [KEY],
+        {
+            "last_location": at_latest(F.col("record_time"), F.col("__place")),
+            "count_pos_attempt": F.sum("__problems"),
+            "count_deliv_attempt": F.when(attempted, F.sum("__labels")),
+            **{f"deliv_attempt_{i}": F.max(F.when(F.col("__number") == i, at)) for i in range(1, ATTEMPTS + 1)},
+        },
+    ).where(F.col("count_pos_attempt") >= min_problems)
     failures = attempt_pivot(
         problems.withColumn("operation_time", local_dt("operation_time", clock.tz)),
         [KEY],
@@ -109,7 +114,7 @@ def vip_problem_check(t: Tables, clock: Clock, min_problems: int = 2) -> DataFra
         ATTEMPTS,
         {"pos_attempt": "operation_time", "pos_reason": "problem_reason"},
     )
-    rows = attach(base.join(per_scan, KEY), [deliveries, failures], KEY)
+    rows = attach(base.join(per_scan, KEY), [failures], KEY)
     return rows.withColumns({"vip_username": F.col("vip_customer_name"), **walls(clock, "shipping_time")}).select(
         *COLUMNS
     )

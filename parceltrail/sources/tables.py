@@ -5,13 +5,14 @@ Instants are TIMESTAMP in a UTC session; flags and codes stay text so leading ze
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parceltrail.session import require_utc
+from parceltrail.session import prepare, require_utc
 
 
 def _schema(text: str) -> T.StructType:
@@ -158,43 +159,70 @@ def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> No
         raise ValueError(f"{name}: key {tuple(keys)} is not unique, for example {found[0].asDict()}")
 
 
+def utc_date_column(time: str) -> str:
+    """Name of the partition column that holds the UTC date of a time column."""
+    return f"{time}_utc_date"
+
+
 class Tables:
-    """The input tables of a report, by name."""
+    """The input tables of a report, by name. A table that is given as a function is read when first asked for."""
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._frames = dict(frames)
-        if self._frames:
-            require_utc(next(iter(self._frames.values())).sparkSession)
+        for df in self._frames.values():
+            if isinstance(df, DataFrame):
+                require_utc(df.sparkSession)
+                break
 
     @classmethod
     def from_parquet(
-        cls, spark: SparkSession, root: str, names: Sequence[str] | None = None, paths: Mapping[str, str] | None = None
+        cls,
+        spark: SparkSession,
+        root: str,
+        names: Sequence[str] | None = None,
+        paths: Mapping[str, str] | None = None,
+        dated: Mapping[str, str] | None = None,
     ) -> Tables:
-        """Parquet folders `<root>/<name>` (or `paths[name]`), read with the declared schemas."""
-        paths = paths or {}
-        return cls(
-            {
-                name: spark.read.schema(SCHEMAS[name]).parquet(paths.get(name, f"{root}/{name}"))
-                for name in names or SCHEMAS
-            }
-        )
+        """Parquet folders `<root>/<name>` (or `paths[name]`), read with the declared schemas.
+
+        `dated` maps a table to the time column whose UTC date it is partitioned by (folders
+        `<time>_utc_date=2024-01-31`); look-backs on that time then read only the partitions they need.
+        """
+        require_utc(spark)
+        paths, dated = paths or {}, dated or {}
+
+        def reader(name: str) -> Callable[[], DataFrame]:
+            days = [T.StructField(utc_date_column(dated[name]), T.DateType())] if name in dated else []
+            schema = T.StructType([*SCHEMAS[name].fields, *days])
+            return lambda: spark.read.schema(schema).parquet(paths.get(name, f"{root}/{name}"))
+
+        return cls({name: reader(name) for name in names or SCHEMAS})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, table_map: Mapping[str, str]) -> Tables:
         """Catalog tables: logical name -> table name of one, two or three parts."""
-        return cls({name: conform(spark.table(table), SCHEMAS[name]) for name, table in table_map.items()})
+        require_utc(spark)
+        read = lambda name, table: lambda: conform(spark.table(table), SCHEMAS[name])
+        return cls({name: read(name, table) for name, table in table_map.items()})
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        found = self._frames[name]
+        if not isinstance(found, DataFrame):
+            found = self._frames[name] = found()
+        return found
+
+    def sources(self) -> list[tuple[str, DataFrame | Callable[[], DataFrame]]]:
+        """Names with their tables, or the functions that read them."""
+        return list(self._frames.items())
 
-    def with_table(self, name: str, df: DataFrame) -> Tables:
+    def with_table(self, name: str, df: DataFrame | Callable[[], DataFrame]) -> Tables:
         return Tables({**self._frames, name: df})
 
     def check_unique(self, *names: str) -> None:
         """Raise when a dimension repeats a key that lookups rely on; all loaded dimensions by default."""
         for name in names or [n for n in UNIQUE_KEYS if n in self._frames]:
             keys, rows = UNIQUE_KEYS[name]
-            assert_unique(self._frames[name].where(rows), keys, name)
+            assert_unique(self[name].where(rows), keys, name)
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -220,13 +248,15 @@ def write_mart(
     mode = "dynamic" if only_partitions else "static"
     spark = df.sparkSession
     if table and only_partitions and spark.catalog.tableExists(target):
-        setting = "spark.sql.sources.partitionOverwriteMode"  # insertInto reads the session, not a write option
-        before = spark.conf.get(setting)
-        spark.conf.set(setting, mode)
+        # insertInto takes the mode from its session: a session of its own leaves other writers' setting alone.
+        own = prepare(spark.newSession())
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        view = f"mart_{uuid.uuid4().hex}"
+        df.select(*spark.table(target).columns).createGlobalTempView(view)
         try:
-            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+            own.table(f"global_temp.{view}").write.insertInto(target, overwrite=True)
         finally:
-            spark.conf.set(setting, before)
+            spark.catalog.dropGlobalTempView(view)
         return
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:

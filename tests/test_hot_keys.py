@@ -89,3 +89,12 @@ def test_dwell_is_the_same_with_every_key_hot(spark, sf_dir, returned):
     usual = longest_dwell(t, domain.CLOCK, returned)
     split = longest_dwell(t, domain.CLOCK, returned, hot_rows=1)
     assert rows_of(usual, *usual.columns) == rows_of(split, *usual.columns)
+
+
+def test_more_tied_hot_keys_than_any_list_would_hold(spark):
+    log = spark.range(6_000).selectExpr("id", "id % 1500 AS key", "timestamp_seconds(id * 60) AS at", "CAST(id % 7 AS INT) AS value")
+    assert hot_keys(log, ["key"], 4).count() == 1500
+    got = keyed.neighbours(log, ["key"], ["at", "id"], {"p": ("value", 1)}, {"n": ("value", 1)}, hot_rows=4)
+    window = Window.partitionBy("key").orderBy("at", "id")
+    want = log.withColumns({"p": F.lag("value", 1).over(window), "n": F.lead("value", 1).over(window)})
+    assert rows_of(got, "id", "p", "n") == rows_of(want, "id", "p", "n")

@@ -6,8 +6,8 @@ import pytest
 
 from parceltrail import plans
 from parceltrail.checks import domain
-from parceltrail.jobs import REPORTS, run
-from parceltrail.operators.lookup import having_key, listed_only, small_list
+from parceltrail.functions import pickup
+from parceltrail.jobs import REPORTS, main, run
 from parceltrail.sources.tables import SCHEMAS, Tables, read_mart
 
 
@@ -21,8 +21,10 @@ def stored(spark, sf_dir, tmp_path_factory):
 
 
 def options(root, marts, **more):
-    base = dict(tables=root, marts=marts, as_of="2024-01-31T03:00:00Z", zone="Asia/Jakarta", sheet=None)
-    return argparse.Namespace(**{**base, "username": None, "check_keys": False, **more})
+    base = dict(tables=root, marts=marts, as_of="2024-01-31T03:00:00Z", zone="Asia/Jakarta", sheet=None, username=None)
+    period = dict.fromkeys(["first", "last", "sending_first", "shipped_first", "shipped_last"])
+    rest = dict(check_keys=False, catalog=[], dated=[], source=pickup.SELLER_PORTAL, min_problems=2)
+    return argparse.Namespace(**{**base, **period, **rest, **more})
 
 
 def rows_of(df, columns=None):
@@ -51,14 +53,6 @@ def test_every_report_has_a_job():
     assert len(REPORTS) == 13
 
 
-def test_long_key_lists_are_not_applied(spark):
-    rows = spark.range(100).withColumnRenamed("id", "k")
-    keys = rows.where("k < 10")
-    assert small_list(keys, 9) is None
-    assert listed_only(rows, None, "k").count() == 100
-    assert listed_only(rows, small_list(keys, 10), "k").count() == having_key(rows, keys, "k").count() == 10
-
-
 @pytest.mark.parametrize(
     ("module", "report"),
     [
@@ -72,5 +66,44 @@ def test_reports_do_not_depend_on_the_key_list(spark, stored, monkeypatch, modul
 
     t = Tables.from_parquet(spark, stored)
     with_list = rows_of(report(t))
-    monkeypatch.setattr(sys.modules[f"parceltrail.plans.{module}"], "small_list", lambda keys: None)
+    monkeypatch.setattr(sys.modules[f"parceltrail.plans.{module}"], "having_key", lambda rows, keys, key: rows)
     assert rows_of(report(t)) == with_list
+
+
+NEEDED = {
+    "return_backlog": ["waybill_waybill", "waybill_return_bill", "system_option", "return_type", "mapping_kanwil_area"],
+    "cargo_hubs": ["smu_template_2", "a_mh_facility_name_rnd"],
+    "vip_problem_check": ["waybill_waybill", "waybill_waybill_line", "waybill_problem_piece", "system_option"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(NEEDED))
+def test_a_job_needs_only_the_tables_of_its_report(spark, stored, tmp_path, name):
+    for needed in NEEDED[name]:
+        spark.read.parquet(f"{stored}/{needed}").write.parquet(f"{tmp_path}/in/{needed}")
+    run(spark, name, options(f"{tmp_path}/in", f"{tmp_path}/out"))
+    assert read_mart(spark, f"{tmp_path}/out/{name}").count() > 0
+
+
+def test_job_parameters(spark, stored, tmp_path):
+    run(spark, "vip_problem_check", options(stored, f"{tmp_path}/two"))
+    run(spark, "vip_problem_check", options(stored, f"{tmp_path}/many", min_problems=4))
+    two, many = (read_mart(spark, f"{tmp_path}/{m}/vip_problem_check") for m in ("two", "many"))
+    assert many.count() < two.count()
+    assert rows_of(many) == rows_of(two.where("count_pos_attempt >= 4"))
+    run(spark, "cargo_base", options(stored, f"{tmp_path}/none", first="2001-01-01", last="2001-01-02"))
+    assert read_mart(spark, f"{tmp_path}/none/cargo_base").count() == 0
+
+
+def test_a_catalog_table_stands_in_for_a_folder(spark, stored, tmp_path):
+    spark.read.parquet(f"{stored}/smu_template_2").createOrReplaceTempView("sheet_view")
+    spark.read.parquet(f"{stored}/a_mh_facility_name_rnd").createOrReplaceTempView("hub_view")
+    named = ["smu_template_2=sheet_view", "a_mh_facility_name_rnd=hub_view"]
+    run(spark, "cargo_hubs", options(None, str(tmp_path), catalog=named))
+    want = plans.cargo_hubs(Tables.from_parquet(spark, stored))
+    assert rows_of(read_mart(spark, f"{tmp_path}/cargo_hubs"), want.columns) == rows_of(want)
+
+
+def test_arguments_reach_the_job(spark, stored, tmp_path):
+    main(["cargo_hubs", "--tables", stored, "--marts", str(tmp_path), "--as-of", "2024-01-31T03:00:00Z", "--last", "2023-08-01"])
+    assert read_mart(spark, f"{tmp_path}/cargo_hubs").count() > 0
