@@ -212,7 +212,8 @@ def sliced(texts: list[str], most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 def encode_decode(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """`docs` with columns ids (array<int>) and decoded (string)."""
+    """`docs` with columns ids (array<int>) and decoded (string), which replace columns of these names."""
+    docs = docs.drop("ids", "decoded")
     vocabulary_path = path or public_tokenizers.path(VOCABULARY)
     schema = StructType([*docs.schema.fields]).add("ids", "array<int>").add("decoded", "string")
 

@@ -9,8 +9,8 @@ block a source is left. The last block holds back its smallest documents (HELD_B
 the token total to its due within about the smallest document.
 
 Sizes count words; a null text counts 0. Null is a source of its own, last in order. A source of size 0 has target 0 and
-takes nothing. Rows that repeat a doc_id are documents of their own in `mix`; in `mixed_documents` rows equal in doc_id,
-source and size share one number of copies, the largest. Extra columns are ignored by `mix` and carried by
+takes nothing. Rows that repeat a doc_id are documents of their own in `mix`; in `mixed_documents` rows of one doc_id share one
+number of copies, the largest. Extra columns are ignored by `mix` and carried by
 `mixed_documents`. The coins come from hashes of source and block: reruns agree, also after a lost executor.
 """
 
@@ -179,8 +179,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with all columns."""
     found = mix(docs, weights, most).where("copies > 0")
-    found = found.groupBy(F.col("doc_id").alias("of")).agg(F.max("copies").alias("__copies"))
-    taken = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["of"])).drop("of")
+    found = found.groupBy(F.col("doc_id").alias("__of")).agg(F.max("copies").alias("__copies"))
+    taken = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["__of"])).drop("__of")
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).drop("__copies", "__copy")
 
 
