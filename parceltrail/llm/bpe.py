@@ -23,7 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from parceltrail.llm.common import documents, texts_of
 
@@ -215,7 +215,7 @@ def encode_decode(docs: DataFrame, text: str = "text", path: str | None = None)
     """`docs` with columns ids (array<int>) and decoded (string), which replace columns of these names."""
     docs = docs.drop("ids", "decoded")
     vocabulary_path = path or public_tokenizers.path(VOCABULARY)
-    schema = StructType([*docs.schema.fields]).add("ids", "array<int>").add("decoded", "string")
+    schema = StructType([*docs.schema.fields]).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(vocabulary_path)

@@ -43,6 +43,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each different key, number of each place's key)."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def runs(kind: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, stops) of maximal runs of one kind other than 0 that don't cross `bounds` (offsets of texts)."""
     if not len(kind):

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from parceltrail.llm.bpe import spans
 from parceltrail.llm.common import byte_view, documents
-from parceltrail.llm.rolling import PrefixHash, mixed
+from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 
 WIDTH, GRAM = 50, 20
 CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 2_000_000, 250_000, 256
@@ -333,7 +333,7 @@ def send_contexts(buckets: int):
         document = chunk.document(start)
         rank, mark, inside = chunk.rank[document], chunk.mark[document], start - chunk.bounds[document]
         # Equal contexts in this chunk: all but those of the smallest document are repeats already.
-        _, model, which = np.unique(content, return_index=True, return_inverse=True)
+        model, which = distinct(content)
         lowest = np.full(len(model), LAST)
         np.minimum.at(lowest, which, rank)
         later = np.flatnonzero((rank > lowest[which]) & (size == size[model[which]]))

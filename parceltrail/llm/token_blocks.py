@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from parceltrail.llm.bpe import spans
 from parceltrail.llm.common import byte_view, documents, shared_folder
-from parceltrail.llm.rolling import PrefixHash, mixed
+from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 BLOCK, PERCENTILE = 128, 0.9
@@ -58,8 +58,8 @@ _OTHER_GAPS = re.compile("[\x85\xa0  -     　]")
 
 
 def bits_of(values: np.ndarray) -> np.ndarray:
-    """Number of bits each value takes; 0 takes none."""
-    return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
+    """Number of bits each value (below 2**53) takes; 0 takes none."""
+    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -71,7 +71,8 @@ def pack(ids: np.ndarray) -> bytes:
     table = padded.reshape(blocks, BLOCK)
     low = table.min(1) if blocks else np.zeros(0, np.int64)
     rest = table - low[:, None]
-    widths = np.sort(bits_of(rest), axis=1)[:, int(PERCENTILE * BLOCK)] if blocks else np.zeros(0, np.int64)
+    rank = int(PERCENTILE * BLOCK)
+    widths = bits_of(np.partition(rest, rank, axis=1)[:, rank]) if blocks else np.zeros(0, np.int64)
     high = rest >> widths[:, None]
     at, place = np.nonzero(high)
     packed_sizes = widths * (BLOCK // 8)
@@ -79,8 +80,15 @@ def pack(ids: np.ndarray) -> bytes:
     packed = np.zeros(starts[-1], np.uint8)
     for width in np.unique(widths[widths > 0]).tolist():
         own = np.flatnonzero(widths == width)
-        bits = ((rest[own][:, :, None] >> np.arange(width)) & 1).astype(np.uint8).reshape(len(own), -1)
-        packed[starts[own][:, None] + np.arange(width * BLOCK // 8)] = np.packbits(bits, axis=1, bitorder="little")
+        # A column of all blocks at a time goes to its place in the blocks' 64-bit words.
+        columns = (rest[own].T & ((1 << width) - 1)).astype(np.uint64)
+        words = np.zeros((width * BLOCK // 64, len(own)), np.uint64)
+        for k in range(BLOCK):
+            word, shift = divmod(k * width, 64)
+            words[word] |= columns[k] << np.uint64(shift)
+            if shift + width > 64:
+                words[word + 1] |= columns[k] >> np.uint64(64 - shift)
+        packed[starts[own][:, None] + np.arange(width * BLOCK // 8)] = np.ascontiguousarray(words.T).astype("<u8").view(np.uint8)
     exceptions = np.r_[0, np.cumsum(np.bincount(at, minlength=blocks))]
     return b"".join([
         np.array([n, blocks, len(packed), len(at)], "<u4").tobytes(),
@@ -107,8 +115,15 @@ def unpack(raw: bytes) -> np.ndarray:
     for width in np.unique(widths[widths > 0]).tolist():
         own = np.flatnonzero(widths == width)
         taken = packed[starts[own][:, None] + np.arange(width * BLOCK // 8)]
-        bits = np.unpackbits(taken, axis=1, bitorder="little").reshape(len(own), BLOCK, width)
-        rest[own] = (bits.astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(2, dtype=np.uint32)
+        words = np.ascontiguousarray(taken.view("<u8").T).astype(np.uint64)
+        columns = np.empty((BLOCK, len(own)), np.uint32)
+        for k in range(BLOCK):
+            word, shift = divmod(k * width, 64)
+            value = words[word] >> np.uint64(shift)
+            if shift + width > 64:
+                value = value | words[word + 1] << np.uint64(64 - shift)
+            columns[k] = value & np.uint64((1 << width) - 1)
+        rest[own] = columns.T
     of = np.repeat(np.arange(blocks), np.diff(exceptions))
     rest[of, place] |= high << widths[of].astype(np.uint32)
     return (rest + low[:, None]).ravel()[:n]
@@ -183,7 +198,7 @@ class UnitEncoder:
         at = np.flatnonzero(cut)
         starts, stops = at[:-1], at[1:]
         keys = mixed(PrefixHash(data).of(starts, stops))
-        _, first, unit = np.unique(keys, return_index=True, return_inverse=True)
+        first, unit = distinct(keys)
         # Equal hashes must mean equal bytes; where they don't, every unit stands for itself.
         sizes = stops - starts
         same = (sizes == sizes[first][unit]).all()
@@ -201,11 +216,15 @@ class UnitEncoder:
 
     def encode_column(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text of an Arrow string column (null: none)."""
+        ids, ends = self.encode_flat(column)
+        return np.split(ids, ends[1:-1]) if len(column) else []
+
+    def encode_flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, offsets) of an Arrow string column."""
         data, bounds = byte_view(column)
         raw = data.tobytes()
         if not any(s in raw for s in self.specials) and (raw.isascii() or not _OTHER_GAPS.search(raw.decode())):
-            ids, ends = self.encode(data, bounds)
-            return np.split(ids, ends[1:-1]) if len(column) else []
+            return self.encode(data, bounds)
         out: list[np.ndarray] = []
         for text in column.to_pylist():
             raw = (text or "").encode()
@@ -213,7 +232,7 @@ class UnitEncoder:
                 out.append(np.array(self._whole([text])[0], np.int32))
             else:
                 out.append(self.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
-        return out
+        return np.concatenate(out), np.r_[0, np.cumsum([len(x) for x in out])]
 
 
 @functools.lru_cache(maxsize=2)
@@ -250,7 +269,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         for batch in batches:
             for a, b in slices(batch.column("text")):
                 part = batch.slice(a, b - a)
-                ids = [np.r_[x, end_id].astype(wide).tobytes() for x in model.encode_column(part.column("text"))]
+                flat, ends = model.encode_flat(part.column("text"))
+                raw = np.insert(flat, ends[1:], end_id).astype(wide).tobytes()
+                upto = (int(wide[2]) * (ends + np.arange(len(ends)))).tolist()
+                ids = [raw[i:j] for i, j in zip(upto, upto[1:])]
                 doc_id = part.column("doc_id")
                 shard = np.searchsorted(borders, doc_id.fill_null(np.iinfo(np.int64).min).to_numpy(), side="left")
                 yield pa.RecordBatch.from_arrays(
