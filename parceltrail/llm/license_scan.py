@@ -101,7 +101,7 @@ TEMPLATES = [
     (60, 0.99, "spdx license identifier (?:{name})"),
     (50, 0.95, "licen[cs]ed under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: licen[cs]e)?"),
     (45, 0.9, "(?:released|distributed|available|published|provided|made available) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: licen[cs]e)?"),
-    (40, 0.8, "(?:the )?(?:{name}) (?:public )?licen[cs]e"),
+    (40, 0.8, "(?:{name}) (?:public )?licen[cs]e"),
     (35, 0.7, "licen[cs]e (?:is )?(?:{name})"),
 ]
 
