@@ -39,7 +39,7 @@ from parceltrail.llm.common import byte_view, documents
 from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 
 WIDTH, GRAM = 50, 20
-CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 2_000_000, 250_000, 256
+CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 2_000_000, 250_000, 1024
 LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 31) - 1)
 

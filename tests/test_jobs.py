@@ -5,7 +5,7 @@ import argparse
 import pytest
 
 from parceltrail import plans
-from parceltrail.checks import domain
+from parceltrail.checks import domain, mart_sql
 from parceltrail.functions import pickup
 from parceltrail.jobs import REPORTS, main, run
 from parceltrail.sources.tables import SCHEMAS, Tables, read_mart
@@ -91,8 +91,10 @@ def test_job_parameters(spark, stored, tmp_path):
     two, many = (read_mart(spark, f"{tmp_path}/{m}/vip_problem_check") for m in ("two", "many"))
     assert many.count() < two.count()
     assert rows_of(many) == rows_of(two.where("count_pos_attempt >= 4"))
-    run(spark, "cargo_base", options(stored, f"{tmp_path}/none", first="2001-01-01", last="2001-01-02"))
-    assert read_mart(spark, f"{tmp_path}/none/cargo_base").count() == 0
+    run(spark, "cargo_base", options(stored, f"{tmp_path}/cargo", **mart_sql.CARGO_PERIOD))
+    want = plans.cargo_base(Tables.from_parquet(spark, stored), plans.CargoPeriod(**mart_sql.CARGO_PERIOD), ordered=False)
+    got = read_mart(spark, f"{tmp_path}/cargo/cargo_base")
+    assert rows_of(got, want.columns) == rows_of(want) and want.count() > 0
 
 
 def test_a_catalog_table_stands_in_for_a_folder(spark, stored, tmp_path):
