@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from parceltrail import checks
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = checks.queries(), checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def ordered(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
