@@ -10,7 +10,7 @@ each other under one anchor travel as one context. In three steps:
    hash). Of equal contexts in a chunk only the smallest document's is sent; the others are repeats already. Buckets sort
    contexts as suffixes: a mergesort whose comparison finds the common extension of two suffixes by binary search over
    prefix polynomial hashes. Neighbours that are equal by hash are verified byte by byte. Where contexts of an anchor
-   differ, their windows are sorted the same way.
+   differ, their windows are sorted the same way. (A string whose hash no other has needs no place in the order.)
 3. Chunks get back the repeated windows of their documents and cut them out.
 
 Texts are shuffled once: all three steps read one exchange by chunk. No group grows with the number of documents: chunks and
@@ -56,12 +56,17 @@ class Suffixes:
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Length of the common extension of pieces x and y, by binary search over prefix hashes."""
         a, b = self.starts[x], self.starts[y]
-        low = np.zeros(len(x), np.int64)
         high = np.minimum(self.sizes[x], self.sizes[y])
-        while (low < high).any():
-            middle = (low + high + 1) // 2
-            same = self.hashes.of(a, a + middle) == self.hashes.of(b, b + middle)
-            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        low = high.copy()
+        # Pieces that agree in all of the shorter one are many, and one probe tells them.
+        todo = np.flatnonzero(self.hashes.of(a, a + high) != self.hashes.of(b, b + high))
+        low[todo] = 0
+        high[todo] -= 1
+        while len(todo := todo[low[todo] < high[todo]]):
+            middle = (low[todo] + high[todo] + 1) // 2
+            same = self.hashes.of(a[todo], a[todo] + middle) == self.hashes.of(b[todo], b[todo] + middle)
+            low[todo] = np.where(same, middle, low[todo])
+            high[todo] = np.where(same, high[todo], middle - 1)
         return low
 
     def before(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -118,7 +123,8 @@ class Suffixes:
             active = active[(end - base) > half]
         equal = np.zeros(n, bool)
         x, y = order[:-1], order[1:]
-        equal[1:] = (self.sizes[x] == self.sizes[y]) & (self.common(x, y) == self.sizes[x])
+        whole = self.hashes.of(self.starts, self.starts + self.sizes)
+        equal[1:] = (self.sizes[x] == self.sizes[y]) & (whole[x] == whole[y])
         hit = np.flatnonzero(equal)
         ours, ends = spans(self.data, self.starts[order[hit]], self.starts[order[hit]] + self.sizes[order[hit]])
         theirs, _ = spans(self.data, self.starts[order[hit - 1]], self.starts[order[hit - 1]] + self.sizes[order[hit - 1]])
@@ -135,11 +141,20 @@ class Suffixes:
 
 
 def lowest_of_equals(pieces: Suffixes, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of each piece's class of equals, smallest rank in the class)."""
-    order, equal = pieces.order()
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(~equal) - 1
-    lowest = np.full(int((~equal).sum()), LAST)
+    """(number of each piece's class of equals, smallest rank in the class).
+
+    A piece whose hash no other has equals no other; the rest are sorted.
+    """
+    _, which = distinct(pieces.hashes.of(pieces.starts, pieces.starts + pieces.sizes))
+    alone = (np.bincount(which) == 1)[which] if len(which) else np.zeros(0, bool)
+    shared = np.flatnonzero(~alone)
+    part = Suffixes(pieces.data, pieces.hashes, pieces.starts[shared], pieces.sizes[shared])
+    order, equal = part.order()
+    number = np.empty(len(rank), np.int64)
+    number[shared[order]] = np.cumsum(~equal) - 1
+    classes = int((~equal).sum())
+    number[alone] = classes + np.arange(alone.sum())
+    lowest = np.full(classes + int(alone.sum()), LAST)
     np.minimum.at(lowest, number, rank)
     return number, lowest
 
