@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.checks import join_checks, keyed_checks, marts, rule_checks
+from parceltrail.checks import io_checks, join_checks, keyed_checks, marts, rule_checks
 
-_PARTS = [keyed_checks.registry, join_checks.registry, rule_checks.registry]
+_PARTS = [keyed_checks.registry, join_checks.registry, rule_checks.registry, io_checks.registry]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
