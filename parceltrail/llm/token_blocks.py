@@ -39,7 +39,7 @@ from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 BLOCK, PERCENTILE = 128, 0.9
 SEGMENT_IDS = 1 << 19
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 1_600_000
 SLICE_BYTES = 2_000_000
 SEGMENTS = "shard int, part int, first long, n_docs long, n_ids long, blob binary"
 _GAP = np.zeros(256, bool)
