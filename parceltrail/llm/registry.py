@@ -23,7 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op1_token_blocks": token_blocks.query,
     "op2_exact_dedup": exact_dedup.SQL,
 }
 
