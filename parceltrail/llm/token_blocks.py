@@ -39,7 +39,7 @@ from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 BLOCK, PERCENTILE = 128, 0.9
 SEGMENT_IDS = 1 << 19
-KEPT_UNITS = 1_600_000
+KEPT_UNITS = 1_000_000
 SLICE_BYTES = 2_000_000
 SEGMENTS = "shard int, part int, first long, n_docs long, n_ids long, blob binary"
 _GAP = np.zeros(256, bool)
@@ -160,7 +160,7 @@ class UnitEncoder:
 
         A line feed before signs, or before the space of signs, is a piece of its own, so its id parts the units' ids.
         """
-        ids = np.array(self._whole(["\n".join([*(u.decode() for u in units), ""])])[0], np.int64)
+        ids = np.array(self._whole([b"\n".join([*units, b""]).decode()])[0], np.int64)
         feeds = np.flatnonzero(ids == self.feed)
         return ids[ids != self.feed], np.diff(np.r_[-1, feeds]) - 1
 
@@ -223,7 +223,9 @@ class UnitEncoder:
         """(ids of all texts in a row, offsets) of an Arrow string column."""
         data, bounds = byte_view(column)
         raw = data.tobytes()
-        if not any(s in raw for s in self.specials) and (raw.isascii() or not _OTHER_GAPS.search(raw.decode())):
+        # Other white space starts with the byte 0xC2 or one from 0xE1 on.
+        plain = not ((data >= 0xE1).any() or (data == 0xC2).any()) or not _OTHER_GAPS.search(raw.decode())
+        if plain and not any(s in raw for s in self.specials):
             return self.encode(data, bounds)
         out: list[np.ndarray] = []
         for text in column.to_pylist():
