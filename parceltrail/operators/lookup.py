@@ -21,6 +21,9 @@ MAX_LABELS = 100_000
 
 
 def _one_row_per_key(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    values = [v for v in values if v not in keys]
+    if not values:
+        return dim.select(*keys).distinct()
     packed = dim.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__row"))
     return packed.select(*keys, *[F.col("__row")[v].alias(v) for v in values])
 
