@@ -98,9 +98,13 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
-    """Masks over the given bit positions: any `radius` positions are absent from at least one of them."""
+    """Masks over the given bit positions: any `radius` positions are absent from at least one of them.
+
+    The first positions carry the unit vectors, so over `radius` + 1 positions or more no mask is zero or comes twice.
+    """
     width = radius + 1
-    vectors = {bit: k % (1 << width) for k, bit in enumerate(bits)}
+    order = sorted(range(1 << width), key=lambda v: (v.bit_count() != 1, -v.bit_count(), v))
+    vectors = {bit: order[k % len(order)] for k, bit in enumerate(bits)}
     return [sum(1 << b for b, m in vectors.items() if (m & v).bit_count() % 2) for v in range(1, 1 << width)]
 
 
@@ -130,14 +134,16 @@ def bucket_edges(values: np.ndarray, free: int, radius: int, wide_radius: int =
     """Edges (positions) that connect what links of a bucket connect.
 
     `free`: the mask of first-column bits in which members may differ. Large buckets are cut by covering masks over them,
-    so that members of one sub-bucket agree in more bits, until few free bits are left.
+    so that members of one sub-bucket agree in more bits, until few free bits or few distinct first columns are left. Every
+    cut closes bits, so the cutting ends.
     """
     edges: list[tuple[int, int]] = []
     todo = [(np.arange(len(values)), free)]
     while todo:
         members, open_bits = todo.pop()
         positions = [b for b in range(BITS) if open_bits >> b & 1]
-        if len(members) <= BLOCK or len(positions) <= 2 * radius + 2:
+        few = len(members) <= BLOCK or len(positions) <= 2 * radius + 2
+        if few or len(np.unique(values[members, 0])) <= BLOCK:
             forest(values, members, radius, wide_radius, edges)
             continue
         for mask in covering_masks(positions, radius):

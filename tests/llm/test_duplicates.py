@@ -123,6 +123,29 @@ def test_large_buckets_lose_no_link():
     assert all(root[i] == root[j] for i, j in close)
 
 
+@pytest.mark.parametrize("bits", range(5, 65))
+def test_masks_are_distinct_and_never_zero(bits):
+    masks = simhash.covering_masks(list(range(bits)), 4)
+    assert len(set(masks)) == len(masks) == 31 and 0 not in masks
+
+
+@pytest.mark.parametrize("bits", [[*range(16)], [0, 3, *range(8, 40, 3), 41, 50, 63]])
+def test_cutting_ends_within_few_free_bits(bits):
+    dice = np.random.default_rng(4)
+    picked = dice.choice(1 << len(bits), 3000, replace=False)
+    values = np.array([sum(1 << b for k, b in enumerate(bits) if v >> k & 1) for v in picked.tolist()], np.uint64)[:, None]
+    edges = simhash.bucket_edges(values, sum(1 << b for b in bits), 4)
+    close = [(i, int(j)) for i in range(0, len(values), 7) for j in np.flatnonzero(np.bitwise_count(values[:, 0] ^ values[i, 0]) <= 4)]
+    root = union_find(range(len(values)), edges)
+    assert all(root[i] == root[j] for i, j in close)
+
+
+def test_cutting_ends_for_equal_first_columns():
+    values = np.stack([np.full(5000, 77), np.arange(5000) % 8], axis=1).astype(np.uint64)
+    root = union_find(range(5000), simhash.bucket_edges(values, (1 << 32) - 1, 4, 3))
+    assert len(set(root.values())) == 1
+
+
 def test_near_copies_leave_and_others_stay(spark):
     dice = np.random.default_rng(2)
     word = lambda: "".join(dice.choice(list("abcdefghij"), 6))
