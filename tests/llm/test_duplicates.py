@@ -158,6 +158,70 @@ def test_near_copies_leave_and_others_stay(spark):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([*range(30), None, 102], key=str)
 
 
+def near_copies_expected(rows):
+    """doc_id and text of the rows that stay, from all pairs of shingle sets."""
+    sets = []
+    for _, text in rows:
+        found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        sets.append({tuple(found[k : k + 5]) for k in range(max(len(found) - 4, min(1, len(found))))})
+    at = [k for k, r in enumerate(rows) if r[0] is not None]
+    alike = lambda a, b: 10 * len(a & b) >= 8 * len(a | b)
+    root = union_find(at, [(i, j) for i in at for j in at if j < i and alike(sets[i], sets[j])])
+    groups = defaultdict(list)
+    for i in at:
+        groups[root[i]].append(rows[i][0])
+    return {k: min(ids) for k, ids in groups.items()}, root
+
+
+def planted_copies():
+    """Texts with added, cut and replaced blocks of sizes around a similarity of 0.8, and some under one template."""
+    dice = np.random.default_rng(11)
+    words = lambda n: [f"w{int(x)}" for x in dice.zipf(1.3, n) % 5000]
+    texts, template = [], words(60)
+    for n in (12, 40, 200, 200, 600):
+        for part in (0.05, 0.1, 0.15, 0.19, 0.2, 0.21, 0.25, 0.3):
+            base, block = words(n), words(max(1, int(n * part)))
+            at, k = int(dice.integers(0, n)), len(block)
+            texts += [base, base + block, block + base, base[:at] + block + base[at:], base[k:], base[:-k], base[: n - k] + block[: k // 2]]
+            swapped = base.copy()
+            for where in dice.choice(n, max(1, int(n * part / 5)), replace=False).tolist():
+                swapped[where] = "swapped"
+            texts.append(swapped)
+    texts += [template + words(int(dice.integers(1, 20))) for _ in range(150)]
+    texts += [words(3) * int(dice.integers(5, 40)) + words(20) for _ in range(20)]
+    return [(int(k), " ".join(t)) for k, t in zip(dice.permutation(len(texts)), texts)]
+
+
+@pytest.mark.parametrize("block", [2_000_000, 900])
+def test_near_copies_are_all_pairs_of_the_asked_similarity(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "PAIR_BLOCK", block)
+    rows = planted_copies()
+    heads, root = near_copies_expected(rows)
+    assert 20 < len(heads) < len(rows) - 100
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(heads.values())
+
+
+def test_near_copies_with_frequent_shingles(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SAMPLE", 2)
+    monkeypatch.setattr(simhash, "SAMPLE_COUNT", 3)
+    rows = planted_copies()
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(near_copies_expected(rows)[0].values())
+
+
+def test_near_copies_of_the_test_data_are_of_the_asked_similarity(docs, plain_docs):
+    rows = [r[:2] for r in plain_docs]
+    left = simhash.drop_near_duplicates(docs)
+    assert {r.doc_id for r in left.collect()} == set(near_copies_expected(rows)[0].values())
+
+
+def test_texts_of_one_doc_id_are_told_apart(spark):
+    rows = [(9, "one text of an id"), (9, "another text of one id"), (9, "one text of an id"), (10, "another text of one id")]
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, left.collect())) == [(9, "another text of one id"), (9, "one text of an id")]
+
+
 def repeats_expected(rows):
     first = {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
