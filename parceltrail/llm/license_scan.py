@@ -27,12 +27,13 @@ from parceltrail.llm.common import byte_view, documents
 #: Phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, keyword that every match holds, name as a pattern. A space stands for any signs between words.
+#: label, keyword whose first word every match holds, name as a pattern. A space stands for any signs between words.
 FAMILIES = [
     ("mit", "mit", "mit"),
     ("mit", "expat", "expat"),
     ("x11", "x11", "x11"),
-    ("isc", "isc", "isc|internet systems consortium"),
+    ("isc", "isc", "isc"),
+    ("isc", "internet", "internet systems consortium"),
     ("apache-1", "apache", "apache (?:software )?(?:license )?(?:version |v )?1(?: [01])?"),
     ("apache-2", "apache", "apache (?:software )?(?:license )?(?:version |v )?2(?: 0)?"),
     ("apache", "apache", "apache(?: software)?"),
@@ -73,7 +74,8 @@ FAMILIES = [
     ("wtfpl", "wtfpl", "wtfpl"),
     ("zlib", "zlib", "zlib(?: libpng)?"),
     ("bsl-1", "boost", "boost(?: software)?(?: 1 0)?"),
-    ("psf", "python software", "python software foundation|psf"),
+    ("psf", "python software", "python software foundation"),
+    ("psf", "psf", "psf"),
     ("postgresql", "postgresql", "postgresql"),
     ("openssl", "openssl", "openssl"),
     ("ofl-1.1", "open font", "(?:sil )?open font(?: 1 1)?"),
@@ -114,8 +116,8 @@ STATEMENTS = [
     ("no-warranty", "warranty", 10, 0.3, "without (?:any )?warranty of any kind"),
 ]
 
-#: A text without any of these holds no statement and no template.
-ROOTS = (b"licen", b"spdx", b" under ", b"rights reserved", b"public domain", b"hereby granted", b"redistribution", b"warranty")
+#: A text without any of these holds no statement and no template. Parts of single words: any signs may lie between words.
+ROOTS = (b"licen", b"under", b"reserved", b"domain", b"granted", b"redistribution", b"warranty")
 WORD, GAP = "[0-9a-z\\x80-\\xff]", "[^0-9a-z\\x80-\\xff]"
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
