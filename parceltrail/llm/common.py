@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,3 +92,18 @@ def byte_view(column) -> tuple[np.ndarray, np.ndarray]:
     if data is None or not len(column):
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+SLICE_ROWS, SLICE_BYTES = 4096, 16 << 20
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of SLICE_ROWS rows and SLICE_BYTES bytes of text column `name` at most, or one longer text."""
+    for batch in batches:
+        _, ends = byte_view(batch.column(name))
+        at = 0
+        while at < batch.num_rows:
+            fit = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1
+            stop = max(at + 1, min(fit, at + SLICE_ROWS))
+            yield batch.slice(at, stop - at)
+            at = stop
