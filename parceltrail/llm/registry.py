@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parceltrail.llm import bpe, class_lm, cube_mix, exact_dedup, fill_middle, hilbert_ann, license_scan, quality, simhash, suffix_dedup, token_blocks
+from parceltrail.llm import bpe, class_lm, cube_mix, divergence, exact_dedup, fill_middle, hilbert_ann, language, license_scan, quality, simhash, suffix_dedup, token_blocks
 from parceltrail.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,11 +20,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cube_mix": cube_mix.query,
     "op9_quality": quality.query,
     "op10_license_scan": license_scan.query,
+    "op11_source_divergence": divergence.query,
     "op12_fill_middle": fill_middle.query,
+    "op13_language": language.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op11_source_divergence": divergence.SQL,
     "op12_fill_middle": fill_middle.SQL,
 }
 

@@ -12,7 +12,7 @@ from parceltrail.llm import registry
 def test_all_are_registered():
     names = driver.queries()
     assert set(registry.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted({int(n[2:].split("_")[0]) for n in registry.QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in registry.QUERIES}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
