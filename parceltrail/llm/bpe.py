@@ -4,6 +4,9 @@ The symbols of many words lie in one flat array. A round finds every pair's rank
 keys, takes the lowest rank of each word, merges that pair in all words at once, and lets finished words leave. Words
 are few compared with their occurrences, so each Python worker keeps a bounded table of words it has encoded.
 
+Words that hold a code point which Python's Unicode tables don't know yet are normalised and split by the library, once for
+each such word: which letters it knows, and lowers, is its own. All others are normalised and split here.
+
 Null texts count as empty (no ids, empty decoded text); nothing else in a row matters, so ties, repeated rows and
 extra columns need no rule. Each row is handled by itself: no shuffle.
 """
@@ -15,6 +18,7 @@ import hashlib
 import itertools
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -24,12 +28,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+from tokenizers import Tokenizer
 
 from parceltrail.llm.common import documents, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 600_000
 SLICE_BYTES = 2_000_000
+#: First sign of a unit that the library normalises and splits, white space as no other unit has it.
+RAW = "\n"
 NO_RANK = np.iinfo(np.int64).max
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACED = re.compile("[^\t-\r \x85\xa0  -     　]+")
@@ -43,6 +50,14 @@ def byte_symbols() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+@functools.cache
+def unassigned() -> re.Pattern[str]:
+    """Matches a code point that has no category in Python's Unicode tables."""
+    known = bytes(unicodedata.category(chr(c)) != "Cn" for c in range(sys.maxunicode + 1))
+    edges = np.flatnonzero(np.diff(np.frombuffer(b"\1" + known + b"\1", np.int8)))
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())) + "]")
+
+
 def spans(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the pieces flat[start:stop] in a row, their offsets)."""
     sizes = stops - starts
@@ -56,6 +71,8 @@ class WordBpe:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.library = Tokenizer.from_file(path)
+        self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"]
@@ -138,8 +155,8 @@ class WordBpe:
             self.number.clear()
             self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
             fresh = [u for u in units if u not in self.marks]
-        split = [(u,) if u.isalpha() else self.pieces.findall(u) for u in fresh]
-        flat = [p.encode() for pieces in split for p in pieces]
+        split = [self.split_by_library(u[1:]) if u[0] == RAW else [p.encode() for p in ((u,) if u.isalpha() else self.pieces.findall(u))] for u in fresh]
+        flat = [p for pieces in split for p in pieces]
         values, offsets = self.encode_words(flat) if flat else (np.zeros(0, np.int64), np.zeros(1, np.int64))
         upto = offsets[np.r_[0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]]
         self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
@@ -150,8 +167,12 @@ class WordBpe:
             self.flat = np.r_[self.flat, np.int32(self.marks[mark])]
             self.ends = np.r_[self.ends, len(self.flat)]
 
+    def split_by_library(self, unit: str) -> list[bytes]:
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(unit))
+        return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in pieces]
+
     def units(self, text: str) -> list[str]:
-        """Normalised words between white space; special tokens' strings stand as one-element marks."""
+        """Words between white space, normalised unless marked RAW; special tokens' strings stand as marks of their own."""
         if self.special_split is not None and "<|" in text:
             found: list[str] = []
             for part in self.special_split.split(text):
@@ -165,6 +186,9 @@ class WordBpe:
     @staticmethod
     def _plain(text: str) -> list[str]:
         if not text.isascii():
+            if unassigned().search(text):
+                units = [(RAW + u,) if unassigned().search(u) else WordBpe._plain(u) for u in _SPACED.findall(text)]
+                return list(itertools.chain.from_iterable(units))
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         return _SPACED.findall(text) if _SEPARATORS.search(text) else text.split()

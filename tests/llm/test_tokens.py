@@ -74,6 +74,24 @@ def test_bpe_of_odd_documents(odd, odd_rows, empty, word_library):
     assert bpe.digests(empty).count() == 0
 
 
+def test_every_code_point_between_letters(word_library):
+    model = bpe.WordBpe(public_tokenizers.path(bpe.VOCABULARY))
+    points = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000] + [*range(0xE0000, 0xE0200), 0xF0000, 0x10FFFD, 0x10FFFF]
+    for start in range(0, len(points), 2000):
+        part = points[start : start + 2000]
+        for text in (" ".join(f"a{chr(c)}b" for c in part), "".join(f"É{chr(c)}" for c in part)):
+            ids, _ = model.encode_batch([text])
+            assert ids.tolist() == word_library.encode(text, add_special_tokens=False).ids, hex(part[0])
+
+
+def test_newer_code_points_beside_others(word_library):
+    model = bpe.WordBpe(public_tokenizers.path(bpe.VOCABULARY))
+    texts = ["\ua7cb\ua7da x", "a\u0558b <|endoftext|>\u0558\u3000É\u0301", "J\u030c \u1c89\u0301", "\U000323b0\u2028\x1c\u0558\x85z", "\U00016d67\U00016d67"]
+    for text in texts:
+        ids, _ = model.encode_batch([text])
+        assert ids.tolist() == word_library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_merging_one_place_at_a_time_gives_the_same():
     model = bpe.WordBpe(public_tokenizers.path(bpe.VOCABULARY))
     words = [b"aaaaaaa", b"banana", b"tthhee", "übungen".encode(), b"x"]
