@@ -1,13 +1,15 @@
 """Operator 10: license scans by ordered signature rules.
 
-Rules are the product of a hand-written table of license families and of sentence templates: a few hundred regular
-expressions. A text first meets a handful of root words, then each family's keyword, and only rules whose keyword it holds
-run. Detections are resolved in order of priority, then length, then place: one whose interval lies inside an accepted
-detection's is suppressed. Exact phrases (`PHRASES`) have the highest priority and always stay.
-
-Everything is matched on text with A-Z lowered. Words are runs of digits, a-z and signs beyond ASCII. Null counts as empty:
-no words, no labels, score 0. Rows are scanned one by one (no shuffle), so ties, repeated rows, empty tables and extra
-columns need no rule.
+Rules are hand-written patterns: signatures of license texts, notices, identifiers and addresses, statements that name no
+license, and a table of license names in a few sentence frames; some hundreds of regular expressions. Each has a keyword that
+every match holds, and only rules whose keyword a text holds run on it. Detections are resolved in order of priority, then
+length, then place: one whose interval lies inside an accepted detection's is suppressed. Exact phrases (`PHRASES`) have the
+highest priority and always stay.
+
+Everything is matched on text with A-Z lowered. Words are runs of digits, a-z and signs beyond ASCII; between the words of a
+pattern stand one or more other signs, however many (line breaks, comment marks, indentation). Null counts as empty: no words,
+no labels, score 0. Rows are scanned one by one (no shuffle), so ties, repeated rows, empty tables and extra columns need no
+rule.
 """
 
 from __future__ import annotations
@@ -27,60 +29,71 @@ from parceltrail.llm.common import byte_view, documents
 #: Phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, keyword whose first word every match holds, name as a pattern. A space stands for any signs between words.
+#: label, keyword that every match holds, name as a pattern. A space stands for signs between words, ~ also for none, and
+#: {v} for what may stand between a name and its version.
 FAMILIES = [
     ("mit", "mit", "mit"),
     ("mit", "expat", "expat"),
     ("x11", "x11", "x11"),
     ("isc", "isc", "isc"),
     ("isc", "internet", "internet systems consortium"),
-    ("apache-1", "apache", "apache (?:software )?(?:license )?(?:version |v )?1(?: [01])?"),
-    ("apache-2", "apache", "apache (?:software )?(?:license )?(?:version |v )?2(?: 0)?"),
+    ("apache-1", "apache", "apache(?: software)?(?: licen[cs]e)?{v}1(?: [01])?"),
+    ("apache-2", "apache", "apache(?: software)?(?: licen[cs]e)?{v}2(?: 0)?"),
     ("apache", "apache", "apache(?: software)?"),
     ("bsd-0-clause", "bsd", "(?:0|zero) clause bsd|bsd (?:0|zero) clause"),
     ("bsd-2-clause", "bsd", "(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd"),
     ("bsd-3-clause", "bsd", "(?:3|three) clause bsd|bsd (?:3|three) clause|(?:new|modified|revised) bsd"),
     ("bsd-4-clause", "bsd", "(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd"),
     ("bsd", "bsd", "bsd"),
-    ("gpl-1", "gpl", "gpl ?(?:version |v )?1(?: 0)?"),
-    ("gpl-2", "gpl", "gpl ?(?:version |v )?2(?: 0)?"),
-    ("gpl-3", "gpl", "gpl ?(?:version |v )?3(?: 0)?"),
-    ("gpl", "gpl", "gpl"),
-    ("gpl-2", "general public", "(?:gnu )?general public(?: license)? (?:version |v )?2(?: 0)?"),
-    ("gpl-3", "general public", "(?:gnu )?general public(?: license)? (?:version |v )?3(?: 0)?"),
-    ("gpl", "general public", "(?:gnu )?general public"),
-    ("lgpl-2.1", "lgpl", "lgpl ?(?:version |v )?2(?: [01])?"),
-    ("lgpl-3", "lgpl", "lgpl ?(?:version |v )?3(?: 0)?"),
-    ("lgpl", "lgpl", "lgpl"),
+    ("gpl-1", "gpl", "(?:gnu )?gpl{v}1(?: 0)?"),
+    ("gpl-2", "gpl", "(?:gnu )?gpl{v}2(?: 0)?"),
+    ("gpl-3", "gpl", "(?:gnu )?gpl{v}3(?: 0)?"),
+    ("gpl", "gpl", "(?:gnu )?gpl"),
+    ("gpl-1", "general", "(?:gnu )?general public(?: licen[cs]e)?{v}1(?: 0)?"),
+    ("gpl-2", "general", "(?:gnu )?general public(?: licen[cs]e)?{v}2(?: 0)?"),
+    ("gpl-3", "general", "(?:gnu )?general public(?: licen[cs]e)?{v}3(?: 0)?"),
+    ("gpl", "general", "(?:gnu )?general public"),
+    ("lgpl-2", "lgpl", "(?:gnu )?lgpl{v}2(?: 0)?"),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl{v}2 1"),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl{v}3(?: 0)?"),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl"),
+    ("lgpl-2", "library", "(?:gnu )?library general public(?: licen[cs]e)?{v}2(?: 0)?"),
+    ("lgpl-2.1", "lesser", "(?:gnu )?lesser general public(?: licen[cs]e)?{v}2 1"),
+    ("lgpl-3", "lesser", "(?:gnu )?lesser general public(?: licen[cs]e)?{v}3(?: 0)?"),
     ("lgpl", "lesser", "(?:gnu )?lesser general public"),
-    ("agpl-3", "agpl", "agpl ?(?:version |v )?3(?: 0)?"),
-    ("agpl", "agpl", "agpl"),
+    ("agpl-3", "agpl", "(?:gnu )?agpl{v}3(?: 0)?"),
+    ("agpl", "agpl", "(?:gnu )?agpl"),
+    ("agpl-3", "affero", "(?:gnu )?affero(?: general public)?(?: licen[cs]e)?{v}3(?: 0)?"),
     ("agpl", "affero", "(?:gnu )?affero(?: general public)?"),
-    ("mpl-1.1", "mozilla", "mozilla public(?: license)? (?:version |v )?1 1"),
-    ("mpl-2", "mozilla", "mozilla public(?: license)? (?:version |v )?2(?: 0)?"),
+    ("mpl-1.1", "mozilla", "mozilla public(?: licen[cs]e)?{v}1 1"),
+    ("mpl-2", "mozilla", "mozilla public(?: licen[cs]e)?{v}2(?: 0)?"),
     ("mpl", "mozilla", "mozilla public"),
-    ("mpl-2", "mpl", "mpl ?(?:version |v )?2(?: 0)?"),
+    ("mpl-1.1", "mpl", "mpl{v}1 1"),
+    ("mpl-2", "mpl", "mpl{v}2(?: 0)?"),
     ("mpl", "mpl", "mpl"),
-    ("epl-1", "eclipse", "eclipse public(?: license)? (?:version |v )?1(?: 0)?"),
-    ("epl-2", "eclipse", "eclipse public(?: license)? (?:version |v )?2(?: 0)?"),
+    ("epl-1", "eclipse", "eclipse public(?: licen[cs]e)?{v}1(?: 0)?"),
+    ("epl-2", "eclipse", "eclipse public(?: licen[cs]e)?{v}2(?: 0)?"),
     ("epl", "eclipse", "eclipse public"),
-    ("cddl-1", "cddl", "cddl(?: 1 [01])?"),
-    ("cddl-1", "common development", "common development and distribution"),
-    ("cpl-1", "common public", "common public"),
-    ("eupl", "eupl", "eupl(?: (?:v )?1 [012])?"),
-    ("eupl", "european union public", "european union public"),
-    ("artistic", "artistic", "(?:perl )?artistic(?: 2(?: 0)?)?"),
+    ("epl-1", "epl", "epl{v}1(?: 0)?"),
+    ("epl-2", "epl", "epl{v}2(?: 0)?"),
+    ("cddl-1", "cddl", "cddl(?:{v}1(?: [01])?)?"),
+    ("cddl-1", "common", "common development and distribution"),
+    ("cpl-1", "common", "common public"),
+    ("eupl", "eupl", "eupl(?:{v}1 [012])?"),
+    ("eupl", "european", "european union public"),
+    ("artistic-2", "artistic", "artistic(?: licen[cs]e)?{v}2(?: 0)?"),
+    ("artistic", "artistic", "(?:perl )?artistic"),
     ("unlicense", "unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl"),
     ("zlib", "zlib", "zlib(?: libpng)?"),
     ("bsl-1", "boost", "boost(?: software)?(?: 1 0)?"),
-    ("psf", "python software", "python software foundation"),
+    ("psf", "python", "python software foundation"),
     ("psf", "psf", "psf"),
     ("postgresql", "postgresql", "postgresql"),
     ("openssl", "openssl", "openssl"),
-    ("ofl-1.1", "open font", "(?:sil )?open font(?: 1 1)?"),
+    ("ofl-1.1", "font", "(?:sil )?open font(?:{v}1 1)?"),
     ("odbl", "odbl", "odbl(?: 1 0)?"),
-    ("odbl", "open database", "open database"),
+    ("odbl", "database", "open database"),
     ("cc0", "cc0", "cc0(?: 1 0)?"),
     ("cc-by-nc-nd", "cc", "cc by nc nd(?: [1-4] [05])?"),
     ("cc-by-nc-sa", "cc", "cc by nc sa(?: [1-4] [05])?"),
@@ -88,36 +101,258 @@ FAMILIES = [
     ("cc-by-nd", "cc", "cc by nd(?: [1-4] [05])?"),
     ("cc-by-sa", "cc", "cc by sa(?: [1-4] [05])?"),
     ("cc-by", "cc", "cc by(?: [1-4] [05])?"),
-    ("cc-by-nc-sa", "creative commons", "creative commons attribution non ?commercial share ?alike"),
-    ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial"),
-    ("cc-by-sa", "creative commons", "creative commons attribution share ?alike"),
-    ("cc-by", "creative commons", "creative commons attribution"),
-    ("cc", "creative commons", "creative commons"),
-    ("elastic-2", "elastic", "elastic(?: 2(?: 0)?)?"),
-    ("sspl-1", "server side public", "server side public"),
-    ("busl", "business source", "business source"),
+    ("cc-by-nc-nd", "commons", "creative commons attribution non~commercial no~deriv(?:ative)?s(?: works)?"),
+    ("cc-by-nc-sa", "commons", "creative commons attribution non~commercial share~alike"),
+    ("cc-by-nc", "commons", "creative commons attribution non~commercial"),
+    ("cc-by-nd", "commons", "creative commons attribution no~deriv(?:ative)?s(?: works)?"),
+    ("cc-by-sa", "commons", "creative commons attribution share~alike"),
+    ("cc-by", "commons", "creative commons attribution"),
+    ("cc0", "commons", "creative commons zero"),
+    ("cc", "commons", "creative commons"),
+    ("elastic-2", "elastic", "elastic(?: licen[cs]e)?{v}2(?: 0)?"),
+    ("elastic", "elastic", "elastic"),
+    ("sspl-1", "server", "server side public"),
+    ("busl", "business", "business source"),
 ]
 
-#: priority, confidence, pattern around a family's name.
-TEMPLATES = [
-    (60, 0.99, "spdx license identifier (?:{name})"),
-    (50, 0.95, "licen[cs]ed under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: licen[cs]e)?"),
-    (45, 0.9, "(?:released|distributed|available|published|provided|made available) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: licen[cs]e)?"),
-    (40, 0.8, "(?:{name}) (?:public )?licen[cs]e"),
-    (35, 0.7, "licen[cs]e (?:is )?(?:{name})"),
+#: priority, confidence, word that every match holds, pattern around a name.
+FRAMES = [
+    (60, 0.99, "spdx", "spdx licen[cs]e identifier {name}"),
+    (50, 0.95, "under", "licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name}(?: (?:public )?licen[cs]e)?"),
+    (45, 0.9, "under", "(?:released|distributed|available|published|provided) under (?:the )?(?:terms of )?(?:the )?{name}(?: (?:public )?licen[cs]e)?"),
+    (40, 0.8, "licen", "{name} (?:public )?licen[cs]e"),
+    (35, 0.7, "licen", "licen[cs]e (?:is )?(?:the )?{name}"),
 ]
 
-#: Statements that name no family: label, keyword, priority, confidence, pattern.
-STATEMENTS = [
-    ("proprietary", "all rights reserved", 30, 0.6, "all rights reserved"),
-    ("public-domain", "public domain", 30, 0.7, "(?:in|into|to|released to) the public domain"),
-    ("permissive", "permission is hereby granted", 30, 0.7, "permission is hereby granted free of charge"),
-    ("redistribution", "redistribution and use", 30, 0.7, "redistribution and use in source and binary forms"),
-    ("no-warranty", "warranty", 10, 0.3, "without (?:any )?warranty of any kind"),
+#: priority and confidence of signatures by kind.
+KINDS = {"address": (75, 0.97), "text": (70, 0.95), "notice": (65, 0.9), "id": (33, 0.85), "statement": (30, 0.65), "hint": (10, 0.3)}
+
+#: kind, label, pattern. The longest plain word of a pattern outside brackets is its keyword.
+SIGNATURES = [
+    # Texts of licenses.
+    ("text", "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("text", "mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("text", "mit", "to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("text", "x11", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("text", "isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("text", "bsd-0-clause", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
+    ("text", "isc", "the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("text", "bsd", "redistributions of source code must retain the (?:above )?copyright notice"),
+    ("text", "bsd", "redistributions in binary form must reproduce the above copyright notice"),
+    ("text", "bsd-3-clause", "nor the names of (?:its|their|the) contributors may be used to endorse or promote products"),
+    ("text", "bsd-3-clause", "may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("text", "bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("text", "apache-2", "terms and conditions for use reproduction and distribution"),
+    ("text", "apache-2", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("text", "apache-2", "you must give any other recipients of the work or derivative works a copy of this license"),
+    ("text", "apache-1.1", "products derived from this software may not be called apache nor may apache appear in their name"),
+    ("text", "apache-1.1", "this product includes software developed by the apache software foundation"),
+    ("text", "gpl-2", "gnu general public license version 2 june 1991"),
+    ("text", "gpl-3", "gnu general public license version 3 29 june 2007"),
+    ("text", "lgpl-2", "gnu library general public license version 2 june 1991"),
+    ("text", "lgpl-2.1", "gnu lesser general public license version 2 1 february 1999"),
+    ("text", "lgpl-3", "gnu lesser general public license version 3 29 june 2007"),
+    ("text", "agpl-3", "gnu affero general public license version 3 19 november 2007"),
+    ("text", "gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("text", "gpl", "the licenses for most software (?:and other practical works )?are designed to take away your freedom to share and change"),
+    ("text", "gpl-2", "the act of running the program is not restricted"),
+    ("text", "gpl-3", "protecting users legal rights from anti circumvention law"),
+    ("text", "agpl-3", "remote network interaction use with the gnu general public license"),
+    ("text", "mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("text", "mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("text", "mpl-2", "covered software is provided under this license on an as is basis"),
+    ("text", "epl-1", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("text", "epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("text", "epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("text", "cpl-1", "the accompanying program is provided under the terms of this common public license"),
+    ("text", "cddl-1", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("text", "eupl", "licensed under the eupl version 1 [012]"),
+    ("text", "artistic", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("text", "artistic-2", "this license establishes the terms under which a given free software package may be copied modified distributed"),
+    ("text", "unlicense", "this is free and unencumbered software released into the public domain"),
+    ("text", "unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("text", "wtfpl", "do what the fuck you want to public license"),
+    ("text", "wtfpl", "you just do what the fuck you want to"),
+    ("text", "zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("text", "zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("text", "bsl-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("text", "bsl-1", "distributed under the boost software license version 1 0"),
+    ("text", "psf", "psf is making python available to licensee on an as is basis"),
+    ("text", "psf", "subject to the terms and conditions of this license agreement psf hereby grants licensee"),
+    ("text", "postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("text", "openssl", "this product includes software developed by the openssl project"),
+    ("text", "openssl", "products derived from this software may not be called openssl"),
+    ("text", "ofl-1.1", "the fonts and derivatives however cannot be released under any other type of license"),
+    ("text", "ofl-1.1", "this font software is licensed under the sil open font license"),
+    ("text", "odbl", "this database is made available under the open database license"),
+    ("text", "cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("text", "cc0", "has waived all copyright and related or neighboring rights"),
+    ("text", "cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("text", "cc-by-sa", "if you remix transform or build upon the material you must distribute your contributions under the same license"),
+    ("text", "cc-by-nc", "you may not use the material for commercial purposes"),
+    ("text", "cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ("text", "elastic-2", "you may not provide the software to third parties as a hosted or managed service"),
+    ("text", "sspl-1", "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("text", "busl", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use"),
+    ("text", "gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("text", "ncsa", "university of illinois ncsa open source license"),
+    ("text", "json", "the software shall be used for good not evil"),
+    ("text", "beerware", "you can buy me a beer in return"),
+    ("text", "curl", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("text", "ms-pl", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("text", "fair", "usage of the works is permitted provided that this instrument is retained with the works"),
+    ("text", "upl-1", "to any person obtaining a copy of this software associated documentation and or data"),
+    ("text", "afl-3", "licensed under the academic free license version 3 0"),
+    ("text", "osl-3", "licensed under the open software license version 3 0"),
+    ("text", "vim", "vim is charityware"),
+    ("text", "ruby", "you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("text", "php-3", "this product includes php software freely available"),
+    # Notices of files and programs.
+    ("notice", "apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+    ("notice", "apache-2", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("notice", "apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("notice", "gpl", "this (?:program|file|package|module|script) is free software"),
+    ("notice", "lgpl", "this library is free software"),
+    ("notice", "gpl-2", "(?:gnu )?general public licen[cs]e as published by the free software foundation (?:either )?version 2"),
+    ("notice", "gpl-3", "(?:gnu )?general public licen[cs]e as published by the free software foundation (?:either )?version 3"),
+    ("notice", "lgpl-2", "(?:gnu )?library general public licen[cs]e as published by the free software foundation (?:either )?version 2"),
+    ("notice", "lgpl-2.1", "(?:gnu )?lesser general public licen[cs]e as published by the free software foundation (?:either )?version 2 1"),
+    ("notice", "lgpl-3", "(?:gnu )?lesser general public licen[cs]e as published by the free software foundation (?:either )?version 3"),
+    ("notice", "agpl-3", "(?:gnu )?affero general public licen[cs]e as published by the free software foundation (?:either )?version 3"),
+    ("notice", "gpl", "you should have received a copy of the gnu general public license"),
+    ("notice", "lgpl", "you should have received a copy of the gnu lesser general public license"),
+    ("notice", "agpl", "you should have received a copy of the gnu affero general public license"),
+    ("notice", "bsd", "use of this source code is governed by a bsd style license"),
+    ("notice", "mit", "use of this source code is governed by an mit style license"),
+    ("notice", "mit", "mit licensed"),
+    ("notice", "bsd", "bsd licensed"),
+    ("notice", "apache", "apache licensed"),
+    ("notice", "gpl", "gpl licensed"),
+    ("notice", "mit", "the mit license mit"),
+    ("notice", "mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("notice", "epl", "under the terms of the eclipse public license(?:{v}[12] 0)? which accompanies this distribution"),
+    ("notice", "perl", "(?:under the same terms|it and or modify it under the same terms) as perl itself"),
+    ("notice", "ruby", "under the same terms as ruby"),
+    ("notice", "cc-by-sa", "text is available under the creative commons attribution share~alike license"),
+    # Addresses.
+    ("address", "apache-2", "apache org licen[cs]es license 2 0"),
+    ("address", "apache-1.1", "apache org licen[cs]es license 1 1"),
+    ("address", "apache", "apache org licen[cs]es"),
+    ("address", "mit", "opensource org licen[cs]es? mit"),
+    ("address", "isc", "opensource org licen[cs]es? isc"),
+    ("address", "bsd-2-clause", "opensource org licen[cs]es? bsd 2 clause"),
+    ("address", "bsd-3-clause", "opensource org licen[cs]es? bsd 3 clause"),
+    ("address", "gpl-2", "opensource org licen[cs]es? gpl 2 0"),
+    ("address", "gpl-3", "opensource org licen[cs]es? gpl 3 0"),
+    ("address", "apache-2", "opensource org licen[cs]es? apache 2 0"),
+    ("address", "zlib", "opensource org licen[cs]es? zlib"),
+    ("address", "gpl-2", "gnu org licen[cs]es (?:old licenses )?gpl 2 0"),
+    ("address", "gpl-3", "gnu org licen[cs]es gpl 3 0"),
+    ("address", "gpl", "gnu org licen[cs]es gpl"),
+    ("address", "lgpl-2.1", "gnu org licen[cs]es (?:old licenses )?lgpl 2 1"),
+    ("address", "lgpl-3", "gnu org licen[cs]es lgpl 3 0"),
+    ("address", "lgpl", "gnu org licen[cs]es lgpl"),
+    ("address", "agpl-3", "gnu org licen[cs]es agpl 3 0"),
+    ("address", "agpl", "gnu org licen[cs]es agpl"),
+    ("address", "gfdl", "gnu org licen[cs]es fdl"),
+    ("address", "gpl", "gnu org copyleft gpl"),
+    ("address", "lgpl", "gnu org copyleft lesser"),
+    ("address", "gpl", "gnu org licen[cs]es(?! (?:a|l)?gpl| fdl| old)"),
+    ("address", "mpl-2", "mozilla org mpl 2 0"),
+    ("address", "mpl-1.1", "mozilla org mpl mpl 1 1"),
+    ("address", "mpl", "mozilla org mpl"),
+    ("address", "epl-1", "eclipse org legal epl v10"),
+    ("address", "epl-2", "eclipse org legal epl 2 0"),
+    ("address", "bsl-1", "boost org license 1 0"),
+    ("address", "unlicense", "unlicense org"),
+    ("address", "wtfpl", "wtfpl net"),
+    ("address", "ofl-1.1", "scripts sil org ofl"),
+    ("address", "odbl", "opendatacommons org licen[cs]es odbl"),
+    ("address", "eupl", "joinup ec europa eu (?:community |software |page |collection )*+eupl"),
+    ("address", "artistic-2", "perlfoundation org artistic license 2 0"),
+    ("address", "elastic-2", "elastic co licensing elastic license"),
+    ("address", "sspl-1", "mongodb com licensing server side public license"),
+    ("address", "cc0", "creativecommons org publicdomain zero"),
+    ("address", "public-domain", "creativecommons org publicdomain mark"),
+    ("address", "cc-by-nc-nd", "creativecommons org licen[cs]es by nc nd"),
+    ("address", "cc-by-nc-sa", "creativecommons org licen[cs]es by nc sa"),
+    ("address", "cc-by-nc", "creativecommons org licen[cs]es by nc"),
+    ("address", "cc-by-nd", "creativecommons org licen[cs]es by nd"),
+    ("address", "cc-by-sa", "creativecommons org licen[cs]es by sa"),
+    ("address", "cc-by", "creativecommons org licen[cs]es by"),
+    ("address", "php-3", "php net license 3"),
+    ("address", "zlib", "zlib net zlib license"),
+    ("address", "psf", "docs python org (?:[23] )?license"),
+    ("address", "curl", "curl (?:haxx )?se docs copyright"),
+    # Identifiers that stand alone.
+    ("id", "gpl-1", "gpl{v}1 0(?: only| or later)?"),
+    ("id", "gpl-2", "gpl{v}2 0(?: only| or later)?"),
+    ("id", "gpl-3", "gpl{v}3 0(?: only| or later)?"),
+    ("id", "gpl-2", "gpl~v~2"),
+    ("id", "gpl-3", "gpl~v~3"),
+    ("id", "gpl-2", "gpl (?:version |ver )2"),
+    ("id", "gpl-3", "gpl (?:version |ver )3"),
+    ("id", "lgpl-2", "lgpl{v}2 0(?: only| or later)?"),
+    ("id", "lgpl-2.1", "lgpl{v}2 1(?: only| or later)?"),
+    ("id", "lgpl-3", "lgpl{v}3 0(?: only| or later)?"),
+    ("id", "lgpl-3", "lgpl~v~3"),
+    ("id", "agpl-3", "agpl{v}3 0(?: only| or later)?"),
+    ("id", "agpl-3", "agpl~v~3"),
+    ("id", "apache-1.1", "apache 1 1"),
+    ("id", "apache-2", "apache 2 0"),
+    ("id", "apache-2", "al2|asl{v}2(?: 0)?"),
+    ("id", "bsd-0-clause", "0bsd"),
+    ("id", "bsd-2-clause", "bsd 2 clause(?: patent| views)?"),
+    ("id", "bsd-3-clause", "bsd 3 clause(?: clear| lbnl)?"),
+    ("id", "bsd-4-clause", "bsd 4 clause(?: uc)?"),
+    ("id", "mit-0", "mit 0"),
+    ("id", "mpl-1.1", "mpl 1 1"),
+    ("id", "mpl-2", "mpl 2 0(?: no copyleft exception)?"),
+    ("id", "epl-1", "epl 1 0"),
+    ("id", "epl-2", "epl 2 0"),
+    ("id", "cddl-1", "cddl 1 [01]"),
+    ("id", "cpl-1", "cpl 1 0"),
+    ("id", "eupl", "eupl 1 [012]"),
+    ("id", "afl-3", "afl 3 0"),
+    ("id", "osl-3", "osl 3 0"),
+    ("id", "artistic-2", "artistic 2 0"),
+    ("id", "bsl-1", "bsl 1 0"),
+    ("id", "busl", "busl 1 1"),
+    ("id", "cc0", "cc0 1 0"),
+    ("id", "cc-by-nc-nd", "cc by nc nd [1-4] [05]"),
+    ("id", "cc-by-nc-sa", "cc by nc sa [1-4] [05]"),
+    ("id", "cc-by-nd", "cc by nd [1-4] [05]"),
+    ("id", "cc-by-sa", "cc by sa [1-4] [05]"),
+    ("id", "cc-by", "cc by [1-4] [05]"),
+    ("id", "elastic-2", "elastic 2 0"),
+    ("id", "sspl-1", "sspl 1 0"),
+    ("id", "gfdl", "gfdl 1 [123](?: only| or later)?"),
+    ("id", "ofl-1.1", "ofl 1 1"),
+    ("id", "odbl", "odbl 1 0"),
+    ("id", "ncsa", "uiuc ncsa"),
+    ("id", "unicode", "unicode dfs 201[56]"),
+    ("id", "upl-1", "upl 1 0"),
+    ("id", "zpl-2", "zpl 2 [01]"),
+    # Statements that name no license.
+    ("statement", "proprietary", "all rights reserved"),
+    ("statement", "proprietary", "proprietary and confidential"),
+    ("statement", "proprietary", "unauthori[sz]ed copying of this file via any medium is strictly prohibited"),
+    ("statement", "proprietary", "may not be reproduced in any form without (?:the )?(?:prior )?(?:written )?permission"),
+    ("statement", "public-domain", "(?:in|into|to|released to) the public domain"),
+    ("statement", "public-domain", "no rights reserved"),
+    ("statement", "permissive", "permission is hereby granted free of charge"),
+    ("statement", "permissive", "free for (?:any|personal and commercial|commercial and personal) use"),
+    ("statement", "non-commercial", "(?:for )?non~commercial use only"),
+    ("statement", "redistribution", "redistribution and use in source and binary forms"),
+    ("statement", "source-available", "source available licen[cs]e"),
+    ("statement", "dual", "(?:dual|multi) licensed"),
+    ("statement", "evaluation", "for evaluation purposes only"),
+    ("hint", "no-warranty", "without (?:any )?warranty of any kind"),
+    ("hint", "no-warranty", "without any warranty"),
+    ("hint", "license-file", "see (?:the )?(?:accompanying )?licen[cs]e file"),
+    ("hint", "license-file", "licen[cs]e see (?:the )?copying"),
 ]
 
-#: A text without any of these holds no statement and no template. Parts of single words: any signs may lie between words.
-ROOTS = (b"licen", b"under", b"reserved", b"domain", b"granted", b"redistribution", b"warranty")
 WORD, GAP = "[0-9a-z\\x80-\\xff]", "[^0-9a-z\\x80-\\xff]"
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -128,27 +363,44 @@ _LOWER[65:91] += 32
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     priority: int
     confidence: float
     pattern: re.Pattern[bytes]
 
 
 def compiled(pattern: str) -> re.Pattern[bytes]:
-    """Whole words; a space stands for up to 12 signs between words (` ?` also for none)."""
-    spaced = pattern.replace(" ?", f"{GAP}{{0,12}}").replace(" ", f"{GAP}{{1,12}}")
-    return re.compile(f"(?<!{WORD})(?:{spaced})(?!{WORD})".encode("latin-1"))
+    """Whole words; a space stands for one or more signs between words, ~ for any number of them."""
+    spaced = pattern.replace("{v}", "~(?:version~|ver~|v~)?").replace("~", f"{GAP}*+").replace(" ", f"{GAP}++")
+    return re.compile(f"(?<!{WORD})(?:{spaced})(?!{WORD})".encode("latin-1"), re.DOTALL)
+
+
+def keyword_of(pattern: str) -> bytes:
+    """The longest plain word that every match of a pattern holds, or nothing if it has alternatives outside brackets."""
+    depth, plain = 0, ""
+    for at, sign in enumerate(pattern):
+        depth += (sign == "(") - (sign == ")")
+        bare = depth == 0 and (sign.isalnum() or sign == " ") and pattern[at + 1 : at + 2] not in ("?", "*", "{")
+        if depth == 0 and sign == "|":
+            return b""
+        plain += sign if bare else "\n"
+    return max(re.findall("[0-9a-z]+", plain), key=len, default="").encode()
 
 
 @functools.lru_cache(maxsize=1)
 def rules() -> list[Rule]:
-    """All rules, the ordered product of families and templates first."""
-    made = [
-        Rule(label, keyword.split()[0].encode(), priority, confidence, compiled(around.replace("{name}", name)))
-        for priority, confidence, around in TEMPLATES
+    """All rules: names in frames, then signatures."""
+    named = [
+        Rule(label, (keyword.encode(), word.encode()), priority, confidence, compiled(frame.replace("{name}", f"(?:{name})")))
+        for priority, confidence, word, frame in FRAMES
         for label, keyword, name in FAMILIES
     ]
-    return made + [Rule(label, k.split()[0].encode(), p, c, compiled(x)) for label, k, p, c, x in STATEMENTS]
+    return named + [Rule(label, (keyword_of(pattern),), *KINDS[kind], compiled(pattern)) for kind, label, pattern in SIGNATURES]
+
+
+@functools.lru_cache(maxsize=1)
+def keywords() -> list[bytes]:
+    return sorted({k for rule in rules() for k in rule.keywords})
 
 
 @functools.lru_cache(maxsize=1)
@@ -184,13 +436,10 @@ def base_detections(text: bytes) -> list[Detection]:
 def detections(text: bytes) -> list[Detection]:
     """Resolved detections of lowered text, by place."""
     found = base_detections(text)
-    if any(root in text for root in ROOTS):
-        held: dict[bytes, bool] = {}
-        for rule in rules():
-            if rule.keyword not in held:
-                held[rule.keyword] = rule.keyword in text
-            if held[rule.keyword]:
-                found += [Detection(*m.span(), rule.priority, rule.confidence, rule.label) for m in rule.pattern.finditer(text)]
+    held = {k for k in keywords() if k in text}
+    for rule in rules() if held else ():
+        if held.issuperset(rule.keywords):
+            found += [Detection(*m.span(), rule.priority, rule.confidence, rule.label) for m in rule.pattern.finditer(text)]
     return resolved(found)
 
 
