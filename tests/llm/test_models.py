@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,7 +56,91 @@ def test_classes_predict_held_out_text_better_than_words_alone(docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_class_model_sums_to_one():
+def plain_classes(model):
+    """word -> class by the model's list, others by ending, with nothing of the model's own lookup."""
+    flat, listed = model.classes.frequent.flat.tobytes(), {}
+    for k, (a, b) in enumerate(zip(model.classes.frequent.starts.tolist(), model.classes.frequent.stops.tolist())):
+        if k < len(model.classes.of_word):
+            listed[flat[a:b].decode()] = int(model.classes.of_word[k])
+
+    def of(word):
+        if word not in listed:
+            one = class_lm.Words.of(pa.array([word]))
+            listed[word] = int(model.classes.of_ending[one.endings()[0]])
+        return listed[word]
+
+    return of
+
+
+@pytest.mark.parametrize("name", ["docs", "odd"])
+def test_class_model_against_brute_force(request, name):
+    """Transitions, class sizes and scores recounted from the texts, given the classes; all probabilities sum to one."""
+    frame = request.getfixturevalue(name)
+    rows = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+    held = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2
+    learned = frame.select("doc_id", "text").where(class_lm.fold() != class_lm.HELD_OUT_FOLD)
+    model = class_lm.fit(learned, min_count=3)
+    of, end = plain_classes(model), class_lm.CLASSES
+    count, pairs = Counter(), np.zeros((end + 1, end + 1))
+    texts = [words(t) for d, t in rows if not held(d)]
+    for own in texts:
+        count.update(own)
+        path = [end, *map(of, own), end]
+        for a, b in zip(path, path[1:]):
+            pairs[a, b] += 1
+    if name == "docs":
+        assert len(model.classes.of_word) == sum(n >= 3 for n in count.values()) > class_lm.SEEDS + 100
+    share = (pairs.sum(0) + 1) / (pairs.sum() + end + 1)
+    step = (pairs + share) / (pairs.sum(1, keepdims=True) + 1)
+    size = [sum(n + 1 for w, n in count.items() if of(w) == c) + 1 for c in range(end)] + [1]
+    assert np.allclose(model.transition, np.log10(step)) and np.allclose(10**model.class_size, size)
+    for previous in range(end + 1):
+        total = sum(step[previous, of(w)] * (n + 1) / size[of(w)] for w, n in count.items())
+        total += sum(step[previous, c] / size[c] for c in range(end)) + step[previous, end]  # unseen words, the end
+        assert math.isclose(total, 1, rel_tol=1e-9)
+    want = []
+    for doc_id, text in rows:
+        own = words(text)
+        path = [end, *map(of, own), end]
+        logs = sum(math.log10((count[w] + 1) / size[of(w)]) for w in own)
+        want.append((str(doc_id), round(logs + sum(math.log10(step[a, b]) for a, b in zip(path, path[1:])), 6)))
+    got = class_lm.score(frame, model, len(texts)).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted(want)
+
+
+def test_moves_follow_the_likelihood():
+    """The gain of a move is what the class bigrams' likelihood gains by it, recounted from the words."""
+    dice = np.random.default_rng(3)
+    table = dice.integers(0, 9, (13, 13))
+    of = np.r_[dice.integers(0, 4, 12), 4]
+
+    def likelihood(classes):
+        hot = np.eye(5)[classes]
+        between = hot.T @ table @ hot
+        f = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return f(between) - f(between.sum(0)) - f(between.sum(1))
+
+    hot = np.eye(5)[of]
+    at = np.arange(12)
+    gain = class_lm.gains(hot.T @ table @ hot, (table.T @ hot)[:12], (table @ hot)[:12], table[at, at].astype(float), of[:12])
+    assert (gain[:, 4] == -np.inf).all()
+    for w in range(12):
+        for c in range(4):
+            other = of.copy()
+            other[w] = c
+            assert math.isclose(gain[w, c] - gain[w, of[w]], likelihood(other) - likelihood(of), abs_tol=1e-6)
+
+
+def test_rounds_in_spark_raise_the_likelihood(docs):
+    held = {}
+    for rounds in (0, 2):
+        learned = docs.select("doc_id", "text").where(class_lm.fold() != class_lm.HELD_OUT_FOLD)
+        model = class_lm.fit(learned, rounds, min_count=5)
+        held[rounds] = sum(r.score for r in class_lm.score(docs, model, learned.count()).collect() if not r.held_out)
+    assert held[2] > held[0]
+
+
+def test_exchange_finds_classes():
     dice = np.random.default_rng(1)
     table = dice.integers(0, 20, (class_lm.UNITS + 1, class_lm.UNITS + 1))
     of = class_lm.exchange(table, classes=8, rounds=1)
