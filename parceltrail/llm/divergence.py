@@ -95,10 +95,10 @@ def shares(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
     return 1 + first // over * SCALE[1] + first % over * SCALE[1] // over
 
 
-def cell_sums(own: pd.DataFrame, groups: pd.DataFrame, strip: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(source, sums of f over the block's terms with each later source) for the sources of one strip, by places in `groups`.
+def cell_sums(own: pd.DataFrame, groups: pd.DataFrame, first: int, last: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(source, sums of f over the block's terms with each later source) for sources from `first` to before `last`.
 
-    `own`: source, term, n of the block; `groups`: source, size (N) and terms (V), a row per source of the language.
+    Sources are places in `groups`. `own`: source, term, n of the block; `groups`: source, size (N) and terms (V), a row per source of the language.
     """
     place, names = pd.factorize(own["term"])
     width, count = len(names), own["n"].to_numpy(np.int64)
@@ -111,7 +111,7 @@ def cell_sums(own: pd.DataFrame, groups: pd.DataFrame, strip: int) -> Iterator[t
         kinds.append(kind + 1)  # kind 0: the source doesn't have the term
         values.append(shares(np.r_[0, distinct], size, terms))
         times.append(np.r_[0, often])
-    for s in range(strip * STRIP, min((strip + 1) * STRIP, len(groups))):
+    for s in range(first, min(last, len(groups))):
         kind_of = np.zeros(width, np.int64)
         kind_of[held[s]] = kinds[s]
         sums = np.zeros(len(groups) - s - 1, np.int64)
@@ -125,13 +125,15 @@ def cell_sums(own: pd.DataFrame, groups: pd.DataFrame, strip: int) -> Iterator[t
         yield s, sums
 
 
-def pair_sums(counts: DataFrame, groups: DataFrame, langs: DataFrame) -> DataFrame:
+def pair_sums(
+    counts: DataFrame, groups: DataFrame, langs: DataFrame, block_rows: tuple[int, int] = BLOCK_ROWS, strip: int = STRIP
+) -> DataFrame:
     """lang, source, item (another source) and value of every ordered pair of a language's sources."""
-    low, high = BLOCK_ROWS
+    low, high = block_rows
     wide = langs.select(
         "lang",
         F.ceil(F.col("rows") / F.least(F.greatest(F.col("sources") * F.col("sources"), F.lit(low)), F.lit(high))).alias("blocks"),
-        F.ceil(F.col("sources") / STRIP).alias("strips"),
+        F.ceil(F.col("sources") / strip).alias("strips"),
     ).select("lang", F.greatest("blocks", F.lit(1)).alias("blocks"), "strips")
     strips = F.explode(F.sequence(F.lit(0), (F.col("strips") - 1).cast("int"))).alias("strip")
     dealt = counts.join(wide, "lang").withColumn("block", F.pmod(F.xxhash64("term"), "blocks").cast("int"))
@@ -144,7 +146,7 @@ def pair_sums(counts: DataFrame, groups: DataFrame, langs: DataFrame) -> DataFra
         names = all_groups["source"].to_numpy()
         parts = [
             pd.DataFrame({"lang": key[0], "source": names[s], "item": names[s + 1 :], "value": sums})
-            for s, sums in cell_sums(own, all_groups, int(key[2]))
+            for s, sums in cell_sums(own, all_groups, int(key[2]) * strip, int(key[2] + 1) * strip)
         ]
         return pd.concat(parts) if parts else pd.DataFrame(columns=["lang", "source", "item", "value"])
 
@@ -174,7 +176,9 @@ def first_terms(counts: DataFrame, groups: DataFrame, langs: DataFrame, top: int
     return ranked.select("lang", "source", F.col("term").alias("item"), "value", "rank")
 
 
-def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
+def divergence(
+    docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block_rows: tuple[int, int] = BLOCK_ROWS, strip: int = STRIP
+) -> DataFrame:
     """lang, source, part (pair or term), item, value and rank: all pairs of sources, and the first `top` terms of each group."""
     plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
     everything = stored(term_counts(plain), "counts")
@@ -192,7 +196,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
     langs = stored(langs, "langs")
     groups = groups.select("lang", "source", "size", "terms")
 
-    pairs = pair_sums(counts, groups, langs)
+    pairs = pair_sums(counts, groups, langs, block_rows, strip)
     pairs = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")))
     fields = ["lang", "source", "part", "item", "value", "rank"]
     terms = first_terms(counts, groups, langs, top)

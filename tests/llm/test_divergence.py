@@ -56,7 +56,7 @@ def fixture():
     return rows + [("repeated row", "zz", "r"), ("repeated row", "zz", "r"), ("repeated", "zz", "t")] + [("long " * 50_000, "en", "s2")]
 
 
-def test_against_brute_force(spark, monkeypatch):
+def test_against_brute_force(spark):
     rows = fixture()
     frame = spark.createDataFrame([(None, *r, 5, "x") for r in rows], "doc_id long, text string, lang string, source string, term int, n string")
     for min_docs in (1, 2, 10):
@@ -64,9 +64,7 @@ def test_against_brute_force(spark, monkeypatch):
         assert got == expected(rows, min_docs)
         assert {r[2] for r in got} == {"pair", "term"}
     # Small blocks and strips give the same sums.
-    monkeypatch.setattr(divergence, "BLOCK_ROWS", (50, 50))
-    monkeypatch.setattr(divergence, "STRIP", 2)
-    assert rows_of(divergence.divergence(frame, 2, top=7)) == expected(rows, 2, top=7)
+    assert rows_of(divergence.divergence(frame, 2, 7, (50, 50), 2)) == expected(rows, 2, top=7)
 
 
 def test_odd_and_empty_tables(spark, odd, empty):
@@ -101,5 +99,5 @@ def test_cells_of_a_pair():
     groups = pd.DataFrame({"source": ["a", "b", "c", "d"], "size": [4, 4, 9, 0], "terms": [4] * 4})
     table = own.pivot(index="source", columns="term", values="n").reindex(groups["source"]).fillna(0).to_numpy().astype(int)
     p = np.stack([divergence.shares(row, size, 4) for row, size in zip(table, groups["size"])])
-    got = {s: sums.tolist() for s, sums in divergence.cell_sums(own, groups, 0)}
+    got = {s: sums.tolist() for s, sums in divergence.cell_sums(own, groups, 0, 4)}
     assert got == {s: [int(np.abs(p[s] - p[t]).sum()) for t in range(s + 1, 4)] for s in range(4)}
