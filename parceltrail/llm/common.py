@@ -66,6 +66,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for work columns that no column of `df` has, whatever the case of its letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        name = f"__{name}"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
 def lower_ascii(text: Column) -> Column:
     """Null counts as empty; only A-Z change."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

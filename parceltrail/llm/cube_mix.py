@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import WORD_GAPS, cut, documents, stored
+from parceltrail.llm.common import WORD_GAPS, cut, documents, free_names, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -179,9 +179,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with all columns."""
     found = mix(docs, weights, most).where("copies > 0")
-    found = found.groupBy(F.col("doc_id").alias("__of")).agg(F.max("copies").alias("__copies"))
-    taken = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["__of"])).drop("__of")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).drop("__copies", "__copy")
+    of, copies, copy = free_names(docs, "of", "copies", "copy")
+    found = found.groupBy(F.col("doc_id").alias(of)).agg(F.max("copies").alias(copies))
+    taken = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found[of])).drop(of)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies, copy)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import cut, documents, lower_ascii, shared_folder, stored
+from parceltrail.llm.common import cut, documents, free_names, lower_ascii, shared_folder, stored
 
 BUCKET_DIGESTS = 500_000
 
@@ -217,9 +217,10 @@ def older_half(docs: DataFrame) -> Column:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all columns."""
     found = find_duplicates(docs, older_half(docs)).where("kept").select("doc_id", "text_sha256").distinct()
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__digest": F.sha2(lower_ascii(F.col("text")), 256)})
-    stays = keyed["__id"].eqNullSafe(found["doc_id"]) & (keyed["__digest"] == found["text_sha256"])
-    return keyed.join(found, stays, "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    doc_id, digest = free_names(docs, "doc_id", "digest")
+    keyed = docs.withColumns({doc_id: F.col("doc_id").cast("long"), digest: F.sha2(lower_ascii(F.col("text")), 256)})
+    stays = keyed[doc_id].eqNullSafe(found["doc_id"]) & (keyed[digest] == found["text_sha256"])
+    return keyed.join(found, stays, "left_semi").dropDuplicates([doc_id, digest]).drop(doc_id, digest)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

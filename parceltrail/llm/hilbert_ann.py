@@ -134,9 +134,16 @@ def classes(vectors: DataFrame, is_query: Column, k: int) -> tuple[DataFrame, Da
     return named.mapInArrow(packed, "cls long, ids array<long>, vec binary, asked boolean"), of_query.select("query_id", "cls")
 
 
+def first_by_hash(table: DataFrame, rows: int, seed: int) -> DataFrame:
+    """The `rows` rows of smallest hash of cls; a threshold from the count keeps what tasks send bounded, however many they are."""
+    spread = F.pmod(F.xxhash64("cls", F.lit(seed)), F.lit(1 << 31))
+    rate = min(1.0, (1.2 * rows + 100) / max(1, table.count()))
+    return table.where(spread < int(rate * (1 << 31))).orderBy(spread, "cls").limit(rows)
+
+
 def ordered(table: DataFrame) -> DataFrame:
     """ordering, part, block, cls, ids, vec, asked: every class once in each ordering, stored in order of keys."""
-    sample = table.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("vec").collect()  # SAMPLE rows at most
+    sample = first_by_hash(table, SAMPLE, 0).select("vec").collect()
     spark = table.sparkSession
     curves = spark.sparkContext.broadcast(Curves(unit_rows(matrix([bytes(r[0]) for r in sample]))) if sample else None)
 
@@ -187,7 +194,7 @@ def numbered(table: DataFrame) -> tuple[DataFrame, dict[int, int]]:
 
 def fitted_reach(table: DataFrame, placed: DataFrame, k: int) -> int:
     """The smallest number of blocks to either side that finds TARGET of the true neighbours of a sample of queries."""
-    probes = table.where("asked").orderBy(F.xxhash64("cls", F.lit(1)), "cls").limit(PROBES).select("cls", "vec").collect()
+    probes = first_by_hash(table.where("asked"), PROBES, 1).select("cls", "vec").collect()
     if not probes:
         return 0
     probe_ids = np.array([r[0] for r in probes])

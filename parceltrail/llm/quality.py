@@ -3,7 +3,7 @@
 Every token bucket has a sparse random index vector. One pass over all documents adds to each bucket the index vectors of
 its neighbours; the sums, one table of BUCKETS x WIDTH numbers whatever the corpus' size, are its word vector. A document
 is the mean and the spread of its word vectors, how much its neighbouring vectors are alike, and its length. A two-layer network is trained with numpy on the driver, on
-at most TRAIN_ROWS labelled documents (those of smallest hash), and its temperature is set on a part held back from
+at most TRAIN_ROWS labelled documents (of smallest hash), and its temperature is set on a part held back from
 training. A second pass scores all documents.
 
 A null or empty text has no tokens: its mean and spread are zero, and it is scored like any other. Rows are scored one by
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import byte_view, documents
+from parceltrail.llm.common import byte_view, documents, free_names
 from parceltrail.llm.rolling import PrefixHash, mixed, runs
 
 BUCKETS, WIDTH, SIGNS, REACH = 1 << 14, 64, 4, 2
@@ -204,7 +204,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     vectors = word_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
-    known = known.where(fold() != HELD_OUT_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(TRAIN_ROWS)
+    known = known.where(fold() != HELD_OUT_FOLD)
+    # A threshold from the count lets a few more rows pass than are wanted, however many tasks read the labels.
+    spread, rate = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)), min(1.0, (1.2 * TRAIN_ROWS + 100) / max(1, known.count()))
+    known = known.where(spread < int(rate * (1 << 31))).orderBy(spread, "doc_id", "quality").limit(TRAIN_ROWS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,8 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     return vectors, train(x, np.array([r[1] for r in rows]))
 
 
-def score(docs: DataFrame, vectors: np.ndarray, net: Network) -> DataFrame:
-    """`docs` with a column score (0 to 1)."""
+def score(docs: DataFrame, vectors: np.ndarray, net: Network, out: str = "score") -> DataFrame:
+    """`docs` with a column `out` (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast((vectors, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,16 +235,16 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network) -> DataFrame:
             for a in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(a, SLICE_ROWS)
                 got = model.score(features(part.column("text"), table))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got)], [*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got)], [*part.schema.names, out])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(run, f"{fields}, `{out}` double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` that the classifier doesn't reject, with all columns."""
-    marked = docs.withColumnsRenamed({"score": "__own_score"})
-    return score(marked, *fit(docs, labels)).where(F.col("score") >= threshold).drop("score").withColumnsRenamed({"__own_score": "score"})
+    (mark,) = free_names(docs, "score")
+    return score(docs, *fit(docs, labels), mark).where(F.col(mark) >= threshold).drop(mark)
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
