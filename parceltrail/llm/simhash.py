@@ -9,44 +9,33 @@ later members are compared with, so a bucket of n fingerprints emits at most n -
 comparisons. In buckets that are larger than a block, the same covering is laid over the bits the bucket leaves free, and
 again inside that.
 
-`near_duplicates` links fingerprints of word shingles by distance alone. `drop_near_duplicates` finds every pair whose sets
-of five-word shingles (XXH64) have the asked Jaccard similarity, without an estimate: in an order that all sets share, such
-sets have one of their first shingles in common (prefix filter). Pairs in the bucket of a shingle that sizes, positions or
-counts of shingles rule out are left; clusters of the others are read again as whole sets, and only pairs of the asked
-similarity make a group. Frequent shingles come last in the order, which changes the work and never the result.
+`near_duplicates` gives every row its fingerprint and component; `drop_near_duplicates` leaves one row of each component. Both
+link fingerprints by distance alone.
 
 A null text counts as empty. A text without words has fingerprint zero and is linked like any other; one of fewer words
 than a shingle has one shingle of all of them. Repeated rows and ties share fingerprint and component. Rows of a null
-doc_id get their fingerprint and the component of the others; the smallest doc_id that is not null names it. Extra columns
-are ignored by `near_duplicates` and carried by `drop_near_duplicates`, which leaves rows without doc_id alone and takes
-texts without words for copies of each other.
+doc_id get their fingerprint and the component of the others; the smallest doc_id that is not null names it, and a row
+without doc_id stays only where its component has no other. Extra columns are ignored by `near_duplicates` and carried by
+`drop_near_duplicates`, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import byte_view, documents, stored
+from parceltrail.llm.common import byte_view, documents, free_names, stored
 from parceltrail.llm.components import components
 
 BITS = 64
 SEED = 42
 QUERY_WORDS, QUERY_RADIUS = 4, 4
 BLOCK = 2048
-#: Near copies: counts of shingles by six bits of their hash, packed in longs; what the sample for frequent ones takes and
-#: how many of these the order may know; hashes on one side of an exact comparison; slack for sizes times a similarity.
-TALLIES, PACKED = 64, ("h0", "h1", "h2", "h3")
-SAMPLE, SAMPLE_COUNT, FREQUENT = 16, 64, 100_000
-PAIR_BLOCK = 2_000_000
-SLACK = 1e-6
 _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -91,7 +80,7 @@ def fingerprint_of(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a long) of every row."""
+    """doc_id, key (a hash of the text, as it stands) and fp (the fingerprint's 64 bits as a long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,9 +89,11 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
                 got = np.zeros(part.num_rows, np.uint64)
                 for row, hashes in shingle_hashes(part.column("text"), words):
                     got[row] = fingerprint_of(hashes)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+                columns = [part.column("doc_id"), part.column("key"), pa.array(got.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    return plain.mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
@@ -209,262 +200,48 @@ def links(distinct: DataFrame, radius: int, narrow: list[str], wide: list[str],
     return spread.mapInArrow(run, "a long, b long")
 
 
+def labelled(prints: DataFrame, radius: int) -> DataFrame:
+    """fp and label (one for each component of fingerprints) of every fingerprint, stored."""
+    distinct = stored(prints.select("fp").distinct(), "distinct")
+    labels = components(stored(links(distinct.select("fp", F.col("fp").alias("node")), radius, ["fp"], []), "links"))
+    named = distinct.join(labels, distinct["fp"] == labels["node"], "left")
+    return stored(named.select("fp", F.coalesce("label", "fp").alias("label")), "named")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 4) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links of at most `radius` bits) of every row."""
     prints = stored(fingerprints(docs, words), "fingerprints")
-    first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    labels = components(stored(links(first.select("fp", F.col("fp").alias("node")), radius, ["fp"], []), "links"))
-    named = first.join(labels, first["fp"] == labels["node"], "left").select(
-        "fp", "first", F.coalesce("label", "fp").alias("label")
-    )
-    named = stored(named, "named")
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    named = stored(first.join(labelled(prints, radius), "fp"), "firsts")
     heads = stored(named.groupBy("label").agg(F.min("first").alias("component_id")), "heads")
     of_print = named.join(heads, "label").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (hashes, ascending) that are frequent in a sample of the rows, and how often: what an order may put last."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(h) for _, h in shingle_hashes(batch.column("text"), words)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["shingle"])
-
-    sampled = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE)) == 0).select("text")
-    counts = sampled.mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= SAMPLE_COUNT)
-    rows = sorted((r.shingle % (1 << 64), r["count"]) for r in counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect())
-    return np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
-
-
-def set_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """doc_id, key (a hash of the text), size of the shingle set, prefix and h0..h3 of every row.
-
-    `prefix`: the first size - ceil(similarity * size) + 1 shingles in an order all sets share (by frequency in the sample,
-    then by hash); sets of the asked similarity have one in common. `h0` to `h3`: 64 counts of shingles, modulo 16, by six
-    bits of the hash. A set without shingles has prefix 0.
-    """
-    frequent, counts = frequent_shingles(docs, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                sizes = np.zeros(part.num_rows, np.int64)
-                prefixes = [np.zeros(1, np.int64)] * part.num_rows
-                tallies = np.zeros((part.num_rows, TALLIES), np.uint8)
-                for row, hashes in shingle_hashes(part.column("text"), words):
-                    own = np.unique(hashes)
-                    sizes[row] = n = len(own)
-                    tallies[row] = np.bincount((own & np.uint64(TALLIES - 1)).astype(np.int64), minlength=TALLIES) & 15
-                    if len(frequent):
-                        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-                        often = np.where(frequent[at] == own, counts[at], 0)
-                        if often.any():
-                            own = own[np.argsort(often, kind="stable")]
-                    prefixes[row] = own[: n - math.ceil(similarity * n - SLACK) + 1].view(np.int64)
-                packed = np.ascontiguousarray(tallies[:, ::2] | tallies[:, 1::2] << 4).view(np.int64)
-                ends = np.cumsum([0, *map(len, prefixes)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes)))
-                columns = [part.column("doc_id"), part.column("key"), pa.array(sizes), lists, *map(pa.array, packed.T.copy())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "size", "prefix", *PACKED])
-
-    fields = "doc_id long, key long, size long, prefix array<long>, " + ", ".join(f"{c} long" for c in PACKED)
-    return docs.mapInArrow(run, fields)
-
-
-def tallied(packed: np.ndarray) -> np.ndarray:
-    """Rows of 64 counts from rows of h0..h3."""
-    raw = np.ascontiguousarray(packed).view(np.uint8)
-    return np.stack([raw & 15, raw >> 4], axis=2).reshape(len(raw), TALLIES)
-
-
-def may_be_alike(sizes, rests, tallies, me, others, similarity: float) -> np.ndarray:
-    """Which of `others` may have the asked similarity with `me`: never false for one that has it, at their first shared shingle.
-
-    `rests`: shingles of a set from the bucket's on, a bound of what two sets share. Counts modulo 16 that lie x apart on the
-    circle stand for at least x shingles that only one set has.
-    """
-    both = sizes[me] + sizes[others]
-    able = np.minimum(rests[me], rests[others]) * (1 + similarity) >= similarity * both - SLACK
-    apart = (tallies[others] - tallies[me]) & 15
-    alone = np.minimum(apart, 16 - apart).sum(-1, dtype=np.int64)
-    return able & (alone * (1 + similarity) <= (1 - similarity) * both + SLACK)
-
-
-def alike_forest(sizes, rests, tallies, similarity: float) -> list[tuple[int, int]]:
-    """Edges that connect what pairs that may be alike connect, within one bucket whose members ascend by size."""
-    edges: list[tuple[int, int]] = []
-    rest = np.arange(len(sizes))
-    while len(rest) > 1:
-        first = int(rest[0])
-        reached, rest = [first], rest[1:]
-        while reached and len(rest):
-            me = reached.pop()
-            low, high = np.searchsorted(sizes[rest], [similarity * sizes[me] - SLACK, sizes[me] / similarity + SLACK], side="left")
-            near = np.zeros(len(rest), bool)
-            near[low:high] = may_be_alike(sizes, rests, tallies, me, rest[low:high], similarity)
-            found = rest[near].tolist()
-            if found:
-                edges += [(first, other) for other in found]
-                reached += found
-                rest = rest[~near]
-    return edges
-
-
-def candidate_links(prints: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) between nodes; every pair of the asked similarity is connected by them."""
-    entries = prints.select("node", "size", F.posexplode("prefix").alias("pos", "shingle"))
-    entries = entries.select("shingle", (F.shiftleft("size", 32) + F.col("pos")).alias("at"), "node")
-    spread = entries.repartition("shingle").sortWithinPartitions("shingle")
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, follows = None, False  # the row before this batch, and whether it goes with the one before it
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch] if last is None else [last, batch])
-            keys = table.column("shingle").to_numpy()
-            same = keys[1:] == keys[:-1]
-            stays = np.r_[follows, same[:-1]] | same if len(same) else np.zeros(0, bool)
-            yield from table.slice(0, len(keys) - 1).filter(pa.array(stays)).combine_chunks().to_batches()
-            follows = bool(same[-1]) if len(same) else False
-            last = batch.slice(batch.num_rows - 1)
-        if last is not None and follows:
-            yield last
-
-    held_by_more = stored(spread.mapInArrow(shared, entries.schema), "shared")
-    full = held_by_more.join(prints.select("node", *PACKED), "node").select("shingle", "at", "node", *PACKED)
-    full = full.repartition("shingle").sortWithinPartitions("shingle", "at", "node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # of a bucket that may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            if held and held[0][0, 0] != rows[0, 0]:
-                yield from emit(np.concatenate(held))
-                held = []
-            cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
-            if not len(cuts):
-                held.append(rows)
-                continue
-            yield from emit(np.concatenate([*held, rows[: cuts[-1]]]))
-            held = [rows[cuts[-1] :]]
-        if held:
-            yield from emit(np.concatenate(held))
-
-    def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
-        starts, stops = np.r_[0, cuts], np.r_[cuts, len(rows)]
-        sizes, rests = rows[:, 1] >> 32, (rows[:, 1] >> 32) - (rows[:, 1] & 0xFFFFFFFF)
-        tallies, nodes = tallied(rows[:, 3:]), rows[:, 2]
-        pair = starts[stops - starts == 2]
-        pair = pair[may_be_alike(sizes, rests, tallies, pair, pair + 1, similarity)]
-        found = [np.stack([nodes[pair], nodes[pair + 1]])]
-        for a, b in zip(starts[stops - starts > 2].tolist(), stops[stops - starts > 2].tolist()):
-            edges = alike_forest(sizes[a:b], rests[a:b], tallies[a:b], similarity)
-            if edges:
-                found.append(nodes[a:b][np.array(edges).T])
-        made = np.unique(np.hstack(found), axis=1)  # copies share many shingles
-        if made.shape[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(made[0]), pa.array(made[1])], ["a", "b"])
-
-    return full.mapInArrow(run, "a long, b long")
-
-
-def exact_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) that connect what pairs of the asked similarity connect inside each cluster.
+def drop_near_duplicates(docs: DataFrame, words: int = QUERY_WORDS, radius: int = QUERY_RADIUS) -> DataFrame:
+    """The rows of `docs` that stay, with all columns: of each component the row of the smallest doc_id.
 
-    `sets`: label (the smallest node of its cluster), node and set (distinct hashes). Each set meets the one of its cluster's
-    first node. Where some aren't alike with that, they meet each other and all the rest, in pairs of blocks.
+    A row is known by doc_id and a hash of its text; of rows that repeat both, one stays.
     """
-    centre = sets.where("node = label").select("label", F.col("set").alias("centre"))
-    both = F.size(F.array_intersect("set", "centre")) * (1 + similarity)
-    near = both >= similarity * (F.size("set") + F.size("centre")) - SLACK
-    star = stored(sets.join(centre, "label").select("label", "node", F.size("set").alias("size"), near.alias("near")), "star")
-    held = lambda which: F.sum(F.when(which, F.col("size") + 1).otherwise(0))
-    blocks = lambda which: F.ceil(held(which) / PAIR_BLOCK).cast("int")
-    cut = star.groupBy("label").agg(blocks(~F.col("near")).alias("apart"), blocks(F.col("near")).alias("tied")).where("apart > 0")
-    mine = F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("tied")).otherwise(F.col("apart"))).cast("int")
-    mine = F.when(F.col("near"), mine + F.col("apart")).otherwise(mine)
-    met = F.sequence(F.lit(0), F.when(F.col("near"), F.col("apart")).otherwise(F.col("apart") + F.col("tied")) - 1)
-    dealt = star.join(cut, "label").select("label", "node", "near", mine.alias("mine"), F.explode(met).alias("other"))
-    dealt = dealt.where("mine <> other").select(
-        "label", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "near"
-    )
-
-    def run(group):
-        own = group.sort_values("node")
-        hashes = [np.asarray(s, np.int64) for s in own["set"]]
-        nodes, sizes = own["node"].to_numpy(), np.array([len(h) for h in hashes])
-        values, ids = np.unique(np.concatenate(hashes), return_inverse=True)
-        ids = np.split(ids, np.cumsum(sizes)[:-1])
-        tallies = np.stack([np.bincount(h & (TALLIES - 1), minlength=TALLIES) & 15 for h in hashes]).astype(np.uint8)
-        marked = np.zeros(len(values), bool)
-        edges: list[tuple[int, int]] = []
-        reached, rest = np.flatnonzero(own["near"]).tolist(), np.flatnonzero(~own["near"])
-        while len(rest):
-            if not reached:
-                reached, rest = [int(rest[0])], rest[1:]
-            me = reached.pop()
-            maybe = np.flatnonzero(may_be_alike(sizes, sizes, tallies, me, rest, similarity))
-            marked[ids[me]] = True
-            both = np.array([np.count_nonzero(marked[ids[k]]) for k in rest[maybe].tolist()], np.int64)
-            marked[ids[me]] = False
-            maybe = maybe[both * (1 + similarity) >= similarity * (sizes[me] + sizes[rest[maybe]]) - SLACK]
-            found = rest[maybe].tolist()
-            edges += [(me, other) for other in found]
-            reached += found
-            rest = np.delete(rest, maybe)
-        at = np.array(edges, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
-
-    rest = dealt.join(sets.select("node", "set"), "node").groupBy("label", "low", "high").applyInPandas(run, "a long, b long")
-    return star.where("near").select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(rest)
-
-
-def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of `docs` that stay: of each group of near copies one row of the smallest doc_id, with all columns.
-
-    A row is known by doc_id and text. Texts of one doc_id are compared like any others; rows that repeat both stay once.
-    """
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64(text)})
-    named = keyed.where("__id is not null")
-    texts = named.select(F.col("__id").alias("doc_id"), F.col("__key").alias("key"), text.alias("text"))
-    prints = set_prints(texts, words, similarity).withColumn("node", F.monotonically_increasing_id())
-    prints = stored(prints, "prints")
-    clusters = components(stored(candidate_links(prints, similarity), "candidates"))
-    members = clusters.join(prints.select("node", "doc_id", "key"), "node")
-    # Repeated rows have one set and lie in one cluster: the smallest node stands for them and may be the cluster's label.
-    members = stored(members.groupBy("label", "doc_id", "key").agg(F.min("node").alias("node")), "members")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = [np.zeros(0, np.int64)] * part.num_rows
-                for row, hashes in shingle_hashes(part.column("text"), words):
-                    found[row] = np.unique(hashes).view(np.int64)
-                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([part.column("label"), part.column("node"), lists], ["label", "node", "set"])
-
-    read = members.join(texts, ["doc_id", "key"]).select("label", "node", "text")
-    repeated = members.join(prints.groupBy("doc_id", "key").count().where("count > 1"), ["doc_id", "key"], "left_semi")
-    if repeated.take(1):
-        read = read.dropDuplicates(["node"])
-    sets = stored(read.mapInArrow(run, "label long, node long, set array<long>"), "sets")
-    groups = components(stored(exact_links(sets, similarity), "links"))
-    groups = stored(groups.join(members.select("node", "doc_id", "key"), "node"), "groups")
-    heads = groups.groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("head"))
-    others = groups.join(heads, "label").where(F.struct("doc_id", "key") != F.col("head")).select("doc_id", "key")
-    gone = (named["__id"] == others["doc_id"]) & (named["__key"] == others["key"])
-    kept = named.join(others, gone, "left_anti").dropDuplicates(["__id", "__key"])
-    return kept.drop("__id", "__key").unionByName(docs.where("doc_id is null"))
+    prints = stored(fingerprints(docs, words), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")
+    rows = prints.join(labelled(prints, radius), "fp").select("label", row.alias("row"))
+    shared = rows.groupBy("label").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(shared.select("label", "head"), "heads")
+    gone = rows.join(shared, "label").where(F.col("row") != F.col("head")).select("row.doc_id", "row.key").distinct()
+    gone = stored(gone, "gone")
+
+    doc_id, key, of, of_key = free_names(docs, "doc_id", "key", "of", "of_key")
+    keyed = docs.withColumns({doc_id: F.col("doc_id").cast("long"), key: F.xxhash64("text")})
+    names = [F.col("doc_id").alias(of), F.col("key").alias(of_key)]
+    same = F.col(doc_id).eqNullSafe(F.col(of)) & (F.col(key) == F.col(of_key))
+    left = keyed.join(gone.select(*names), same, "left_anti")
+    repeated = stored(prints.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    if not repeated.isEmpty():  # rows that occur once needn't move for those that don't
+        again = repeated.select(*names)
+        once = left.join(again, same, "left_semi").dropDuplicates([doc_id, key])
+        left = left.join(again, same, "left_anti").unionByName(once)
+    return left.drop(doc_id, key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

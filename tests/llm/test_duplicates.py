@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from parceltrail.llm import exact_dedup, simhash, suffix_dedup
+from parceltrail.llm import cube_mix, exact_dedup, simhash, suffix_dedup
 from parceltrail.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -146,82 +146,68 @@ def test_cutting_ends_for_equal_first_columns():
     assert len(set(root.values())) == 1
 
 
-def test_near_copies_leave_and_others_stay(spark):
-    dice = np.random.default_rng(2)
-    word = lambda: "".join(dice.choice(list("abcdefghij"), 6))
-    texts = [[word() for _ in range(200)] for _ in range(30)]
-    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
-    changed = texts[3].copy()
-    changed[100] = "changed"
-    rows += [(100, " ".join(changed)), (101, " ".join(texts[4] + ["more"])), (None, " ".join(texts[5])), (102, None), (103, "")]
-    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([*range(30), None, 102], key=str)
-
-
-def near_copies_expected(rows):
-    """doc_id and text of the rows that stay, from all pairs of shingle sets."""
-    sets = []
-    for _, text in rows:
-        found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-        sets.append({tuple(found[k : k + 5]) for k in range(max(len(found) - 4, min(1, len(found))))})
-    at = [k for k, r in enumerate(rows) if r[0] is not None]
-    alike = lambda a, b: 10 * len(a & b) >= 8 * len(a | b)
-    root = union_find(at, [(i, j) for i in at for j in at if j < i and alike(sets[i], sets[j])])
-    groups = defaultdict(list)
+def stays_expected(rows, words, radius):
+    """doc_ids of the rows that stay: of each component the smallest, one without doc_id only if there is no other."""
+    prints = [plain_print(text, words) for _, text in rows]
+    at = list(range(len(rows)))
+    root = union_find(at, [(i, j) for i in at for j in at[:i] if (prints[i] ^ prints[j]).bit_count() <= radius])
+    heads = {}
     for i in at:
-        groups[root[i]].append(rows[i][0])
-    return {k: min(ids) for k, ids in groups.items()}, root
-
-
-def planted_copies():
-    """Texts with added, cut and replaced blocks of sizes around a similarity of 0.8, and some under one template."""
-    dice = np.random.default_rng(11)
-    words = lambda n: [f"w{int(x)}" for x in dice.zipf(1.3, n) % 5000]
-    texts, template = [], words(60)
-    for n in (12, 40, 200, 200, 600):
-        for part in (0.05, 0.1, 0.15, 0.19, 0.2, 0.21, 0.25, 0.3):
-            base, block = words(n), words(max(1, int(n * part)))
-            at, k = int(dice.integers(0, n)), len(block)
-            texts += [base, base + block, block + base, base[:at] + block + base[at:], base[k:], base[:-k], base[: n - k] + block[: k // 2]]
-            swapped = base.copy()
-            for where in dice.choice(n, max(1, int(n * part / 5)), replace=False).tolist():
-                swapped[where] = "swapped"
-            texts.append(swapped)
-    texts += [template + words(int(dice.integers(1, 20))) for _ in range(150)]
-    texts += [words(3) * int(dice.integers(5, 40)) + words(20) for _ in range(20)]
-    return [(int(k), " ".join(t)) for k, t in zip(dice.permutation(len(texts)), texts)]
-
-
-@pytest.mark.parametrize("block", [2_000_000, 900])
-def test_near_copies_are_all_pairs_of_the_asked_similarity(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "PAIR_BLOCK", block)
-    rows = planted_copies()
-    heads, root = near_copies_expected(rows)
-    assert 20 < len(heads) < len(rows) - 100
-    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
-    assert sorted(r.doc_id for r in left.collect()) == sorted(heads.values())
-
-
-def test_near_copies_with_frequent_shingles(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SAMPLE", 2)
-    monkeypatch.setattr(simhash, "SAMPLE_COUNT", 3)
-    rows = planted_copies()
-    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in left.collect()) == sorted(near_copies_expected(rows)[0].values())
+        heads[root[i]] = min(heads.get(root[i], (2,)), (rows[i][0] is None, rows[i][0] or 0))
+    return sorted((None if without else doc_id for without, doc_id in heads.values()), key=str)
 
 
-def test_near_copies_of_the_test_data_are_of_the_asked_similarity(docs, plain_docs):
-    rows = [r[:2] for r in plain_docs]
-    left = simhash.drop_near_duplicates(docs)
-    assert {r.doc_id for r in left.collect()} == set(near_copies_expected(rows)[0].values())
+def near_rows():
+    """Texts with small changes of their own, so that fingerprints lie 0 to 20 bits apart, copies in hot groups, odd rows."""
+    dice = np.random.default_rng(2)
+    texts, rows = [[f"w{int(x)}" for x in dice.zipf(1.4, int(n)) % 3000] for n in dice.integers(1, 400, 60)], []
+    for text in texts:
+        for changes in (0, 0, 1, 2, 5, 20):
+            copy = text.copy()
+            for where in dice.integers(0, len(copy), changes).tolist():
+                copy[where] = "swapped"
+            rows.append(" ".join(copy) if changes else "\t".join(copy).upper())
+    rows += [rows[7]] * 200 + [None, "", " \n", "one", "ONE"]
+    return [(int(k), t) for k, t in zip(dice.permutation(len(rows)), rows)] + [(None, rows[9]), (None, "no other like it"), (None, "no other like it"), (3, rows[9])]
+
+
+@pytest.mark.parametrize(("words", "radius"), [(4, 4), (1, 2)])
+def test_one_row_of_each_component_stays(spark, words, radius):
+    rows = near_rows()
+    names = "doc_id long, text string, __doc_id int, __KEY string, key int, fp int, __of string, row int, label int, head string"
+    frame = spark.createDataFrame([(*r, 1, "x", 2, 3, "o", 4, 5, "h") for r in rows], names).repartition(5)
+    left = simhash.drop_near_duplicates(frame, words, radius)
+    assert left.columns == frame.columns
+    got, want = left.collect(), stays_expected(rows, words, radius)
+    assert sorted((r.doc_id for r in got), key=str) == want
+    assert 30 < len(want) < len(rows) - 200 and all((r.doc_id, r.text) in set(rows) for r in got)
+
+
+def test_one_row_of_each_component_of_the_test_data(docs, plain_docs, odd, odd_rows, empty):
+    for frame, rows in ((docs, [r[:2] for r in plain_docs]), (odd, [r[:2] for r in odd_rows])):
+        left = simhash.drop_near_duplicates(frame)
+        assert left.columns == frame.columns
+        assert sorted((r.doc_id for r in left.collect()), key=str) == stays_expected(rows, 4, 4)
+    assert simhash.drop_near_duplicates(empty).columns == empty.columns and simhash.drop_near_duplicates(empty).count() == 0
 
 
-def test_texts_of_one_doc_id_are_told_apart(spark):
+def test_rows_of_one_doc_id_are_told_apart(spark):
     rows = [(9, "one text of an id"), (9, "another text of one id"), (9, "one text of an id"), (10, "another text of one id")]
     left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, left.collect())) == [(9, "another text of one id"), (9, "one text of an id")]
 
 
+def test_work_columns_take_free_names(spark):
+    rows = [(1, "a b c", "x"), (1, "A b c", "y"), (2, "other words here", "z")]
+    clashes = ["__doc_id", "__digest", "__of", "__copies", "__copy", "__Key", "__of_", "__of_key"]
+    for more in (clashes[:4], clashes[4:]):
+        columns = ", ".join(f"{c} string" for c in more)
+        frame = spark.createDataFrame([(*r, *r[2:] * (len(more) - 1)) for r in rows], f"doc_id long, text string, {columns}")
+        assert exact_dedup.drop_duplicates(frame).columns == frame.columns
+        assert {r[2] for r in simhash.drop_near_duplicates(frame).collect()} <= {"x", "y", "z"}
+        assert {r.doc_id for r in cube_mix.mixed_documents(frame.withColumn("source", F.lit("s"))).collect()} <= {1, 2}
+
+
 def repeats_expected(rows):
     first = {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
