@@ -19,8 +19,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the row of the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs, words=5, similarity=0.8)
+    """Of each component of four-word SimHash fingerprints within four bits the row of the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, words=4, radius=4)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
