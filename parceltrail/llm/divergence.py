@@ -98,7 +98,8 @@ def shares(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
 def cell_sums(own: pd.DataFrame, groups: pd.DataFrame, first: int, last: int) -> Iterator[tuple[int, np.ndarray]]:
     """(source, sums of f over the block's terms with each later source) for sources from `first` to before `last`.
 
-    Sources are places in `groups`. `own`: source, term, n of the block; `groups`: source, size (N) and terms (V), a row per source of the language.
+    Sources are places in `groups`. `own`: source, term, n of the block; `groups`: source, size (N) and terms (V), a row per
+    source of the language.
     """
     place, names = pd.factorize(own["term"])
     width, count = len(names), own["n"].to_numpy(np.int64)
