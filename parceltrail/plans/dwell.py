@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.clock import Clock, band, date_of, days_between, local_dt
 from parceltrail.functions.values import joined
-from parceltrail.operators.keyed import neighbours, neighbours_split
+from parceltrail.operators.keyed import neighbours
 from parceltrail.operators.lookup import decode, with_value, without_value
 from parceltrail.operators.segments import branch_stays, longest_stays
 from parceltrail.operators.sets import stack_rows
-from parceltrail.operators.skew import split_hot
 from parceltrail.operators.summary import at_latest, summarise
 from parceltrail.plans.parts import KEY, current_waybills, recent_rows, recent_scans
 from parceltrail.sources.tables import Tables
@@ -63,7 +62,7 @@ def parcels(t: Tables, clock: Clock, returned: bool) -> DataFrame:
     waybills = recent_rows(t["waybill_waybill"], LOOK_BACK, clock, "shipping_time").where(
         (F.col("void_flag") == "0") & (F.col("deleted") == "0") & F.col(KEY).isNotNull()
     )
-    base = decode(current_waybills(waybills), t["system_option"], "waybill_source", "waybillSource", "waybill_source")
+    base = decode(current_waybills(waybills), t.labels, "waybill_source", "waybillSource", "waybill_source")
     base = base.select(KEY, local_dt("shipping_time", clock.tz).alias("shipping_time"), "waybill_source")
     bills = recent_rows(t["waybill_return_bill"].where(F.col(KEY).isNotNull()), LOOK_BACK, clock, "update_time")
     confirmed = F.col("return_confirm_record_time")
@@ -96,28 +95,21 @@ def _halves(returned: bool) -> tuple[dict[str, tuple[Column, Column]], Column]:
 
 
 def stays(t: Tables, clock: Clock, returned: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """Branch stays of the parcels. With `hot_rows`, scans of larger parcels are split by parcel and time bucket.
-
-    Neighbours depend on a parcel's scans alone, so hot parcels get them before they meet the parcel table.
-    """
+    """Branch stays of the parcels. Scans are dealt out by parcel and hour, hours of `hot_rows` scans along their order."""
     scans = recent_scans(t, LOOK_BACK, clock).select(
         KEY,
         "record_time",
         F.col("operation_branch_name").alias("branch"),
         F.col("operation_label").alias("operation"),
     )
-    path = (
+    rows = neighbours(
+        scans.join(parcels(t, clock, returned), KEY),
         [KEY],
         ["record_time", "operation", "branch"],
         {"previous_branch_name_1": ("branch", 1), "previous_branch_name_2": ("branch", 2)},
         {"next_branch_name": ("branch", 1)},
+        hot_rows=hot_rows,
     )
-    of_report = parcels(t, clock, returned)
-    counted = recent_rows(t["waybill_waybill_line"], LOOK_BACK, clock, "record_time")
-    scans, hot = split_hot(scans, [KEY], hot_rows, counted)
-    rows = neighbours(scans.join(of_report, KEY), *path)
-    if hot is not None:
-        rows = rows.unionByName(neighbours_split(hot, *path).join(of_report, KEY))
     halves, label = _halves(returned)
     rows = rows.withColumn("side", label)
     return branch_stays(
