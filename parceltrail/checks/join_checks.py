@@ -10,6 +10,8 @@ from parceltrail.functions.clock import Clock, band, date_of, recent, utc_range
 from parceltrail.functions.values import joined
 from parceltrail.operators.keyed import latest_per_key
 from parceltrail.operators.lookup import (
+    Dimension,
+    Labels,
     decode,
     having_key,
     left_join_heavy_right,
@@ -36,6 +38,16 @@ WITH codes AS ({_CODES})
 SELECT o_orderkey, option_name AS status_label FROM orders
 LEFT JOIN codes ON type_option = 'orderStatus' AND option_value = o_orderstatus""")
 def code_decode(s: Source) -> DataFrame:
+    rows = decode(s.orders, Labels.read(s.rows(_CODES)), "o_orderstatus", "orderStatus", "status_label")
+    return rows.select("o_orderkey", "status_label")
+
+
+@check(f"""
+WITH codes AS ({_CODES})
+SELECT o_orderkey, option_name AS status_label FROM orders
+LEFT JOIN codes ON type_option = 'orderStatus' AND option_value = o_orderstatus""")
+def code_decode_joined(s: Source) -> DataFrame:
+    """The form for option tables of any size."""
     rows = decode(s.orders, s.rows(_CODES), "o_orderstatus", "orderStatus", "status_label")
     return rows.select("o_orderkey", "status_label")
 
@@ -46,12 +58,13 @@ LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation a ON a.n_nationkey
 LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN nation b ON b.n_nationkey = c_nationkey GROUP BY 1, 2""")
 def role_lookup(s: Source) -> DataFrame:
-    rows = lookup(s.lineitem, s.supplier, {"l_suppkey": "s_suppkey"}, {"seller": "s_nationkey"})
-    rows = lookup(rows, s.orders, {"l_orderkey": "o_orderkey"}, {"buyer_id": "o_custkey"})
-    rows = lookup(rows, s.customer, {"buyer_id": "c_custkey"}, {"buyer": "c_nationkey"})
+    keyed = lambda rows, key: Dimension(rows, (key,), True)
+    rows = lookup(s.lineitem, keyed(s.supplier, "s_suppkey"), {"l_suppkey": "s_suppkey"}, {"seller": "s_nationkey"})
+    rows = lookup(rows, keyed(s.orders, "o_orderkey"), {"l_orderkey": "o_orderkey"}, {"buyer_id": "o_custkey"})
+    rows = lookup(rows, keyed(s.customer, "c_custkey"), {"buyer_id": "c_custkey"}, {"buyer": "c_nationkey"})
     rows = lookup_roles(
         rows,
-        s.nation,
+        Dimension.counted(s.nation, ["n_nationkey"]),
         [
             ({"seller": "n_nationkey"}, {"seller_nation": "n_name"}),
             ({"buyer": "n_nationkey"}, {"buyer_nation": "n_name"}),
@@ -82,7 +95,7 @@ FROM lineitem l LEFT JOIN ({_PRICES}) AS p ON p.l_partkey = l.l_partkey AND p.l_
 def composite_lookup(s: Source) -> DataFrame:
     lane = ["l_partkey", "l_suppkey"]
     prices = latest_per_key(s.lineitem, lane, "l_shipdate", ["l_extendedprice"])
-    rows = lookup(s.lineitem, prices, {c: c for c in lane}, {"newest_price": "l_extendedprice"})
+    rows = lookup(s.lineitem, Dimension(prices, tuple(lane), True), {c: c for c in lane}, {"newest_price": "l_extendedprice"})
     return rows.select("l_orderkey", "l_linenumber", *lane, "newest_price")
 
 

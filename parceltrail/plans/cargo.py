@@ -86,7 +86,7 @@ def bag_scans(t: Tables, period: CargoPeriod, tz: str = DEFAULT_ZONE) -> DataFra
 def shipped_parcels(t: Tables, period: CargoPeriod, tz: str = DEFAULT_ZONE) -> DataFrame:
     rows = dated_rows(t["waybill_waybill"], "shipping_time", period.shipped_first, period.shipped_last)
     rows = rows.where((F.col("deleted") == "0") & F.col(KEY).isNotNull())
-    rows = decode(current_waybills(rows), t["system_option"], "express_type", "expressType", "express_type")
+    rows = decode(current_waybills(rows), t.labels, "express_type", "expressType", "express_type")
     return rows.select(
         KEY,
         local_date("shipping_time", tz).alias("shipping_time"),

@@ -50,20 +50,19 @@ def _ledger(t: Tables, rows: DataFrame, branch_id: str, names: dict[str, str], m
     """
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {"waybill_source": ("waybill_source", "waybillSource"), "express_type": ("express_type", "expressType")},
     )
     rows = lookup(
         rows,
-        t["res_branch"],
+        t.dimension("res_branch"),
         {branch_id: "id"},
         {"branch_no": "branch_no", "branch_level": "branch_level", "__city": "city_id"},
     )
-    rows = decode(rows, t["system_option"], "branch_level", "branchLevel", "branch_level")
+    rows = decode(rows, t.labels, "branch_level", "branchLevel", "branch_level")
     rows = lookup(rows, t["res_area"], {"__city": "city_id"}, {"province_name": "province_name"})
     rows = region_of(rows, t, {"__region": "province_name"})
-    accounts = t["res_user"].where(F.col("deleted") == "0")
-    rows = lookup(rows, accounts, {"courier_id": "id"}, {"personnel_no": "personnel_no", "enabled": "enabled"})
+    rows = lookup(rows, t.dimension("res_user"), {"courier_id": "id"}, {"personnel_no": "personnel_no", "enabled": "enabled"})
     rows = rows.drop(*names).withColumns({out: F.col(c) for out, c in names.items()})
     rows = rows.withColumn(
         "kanwil_name", courier_zone(F.col("branch_level"), F.col("__region"), F.col("province_name"))

@@ -247,7 +247,7 @@ def orders(t: Tables, clock: Clock, sane_pickup_sla: bool = False) -> DataFrame:
     )
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "order_source": ("order_source", "orderSource"),
             "order_status": ("order_status", "orderStatus"),
@@ -308,7 +308,7 @@ def waybills(t: Tables, clock: Clock) -> DataFrame:
     rows = rows.join(bills, KEY, "left")
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "waybill_status": ("waybill_status", "waybillStatus"),
             "return_status": ("return_flag", "returnFlag"),
@@ -323,7 +323,7 @@ def waybills(t: Tables, clock: Clock) -> DataFrame:
     )
     rows = lookup(
         rows,
-        t["masterdata_sla_shopee"],
+        t.dimension("masterdata_sla_shopee"),
         {"recipient_city_name": "destination_city", "sender_city_name": "origin_city"},
         {"sla": "sla"},
     )
@@ -339,7 +339,7 @@ def waybills(t: Tables, clock: Clock) -> DataFrame:
     rows = region_of(
         rows, t, {"kanwil_asal": "sender_province_name", "kanwil_tujuan": "recipient_province_name"}
     )
-    rows = lookup(rows, t["return_type"], {"return_type_id": "id"}, {"return_reason": "return_type"})
+    rows = lookup(rows, t.dimension("return_type"), {"return_type_id": "id"}, {"return_reason": "return_type"})
     sla = safe_int(F.col("sla"))
     lead = days_between(local_dt("pod_record_time", clock.tz), local_dt("shipping_time", clock.tz))
     rows = rows.withColumns(

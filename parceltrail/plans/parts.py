@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.clock import Clock, local_dt, recent, utc_range
 from parceltrail.operators.keyed import latest_per_key
-from parceltrail.operators.lookup import decode, lookup
+from parceltrail.operators.lookup import Dimension, decode, lookup
 from parceltrail.operators.summary import at_earliest, at_latest, count_where
 from parceltrail.sources.tables import Tables, utc_date_column
 
@@ -67,20 +67,20 @@ def walls(clock: Clock, *names: str, **renamed: str) -> dict[str, Column]:
     return {out: local_dt(c, clock.tz) for out, c in {**{n: n for n in names}, **renamed}.items()}
 
 
-def active_problem_codes(t: Tables) -> DataFrame:
-    return t["res_problem_package"].where(F.col("deleted") == "0")
+def active_problem_codes(t: Tables) -> Dimension:
+    return t.dimension("res_problem_package")
 
 
 def region_of(df: DataFrame, t: Tables, roles: Mapping[str, str]) -> DataFrame:
     """Regional office by province: output name -> province column."""
     for out, province in roles.items():
-        df = lookup(df, t["mapping_kanwil_area"], {province: "province_name"}, {out: "kanwil_name"})
+        df = lookup(df, t.dimension("mapping_kanwil_area"), {province: "province_name"}, {out: "kanwil_name"})
     return df
 
 
 def island_of(df: DataFrame, t: Tables, roles: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Island area by (city, province): output name -> (city column, province column)."""
-    dim = t["masterdata_city_mapping_area_island_new"]
+    dim = t.dimension("masterdata_city_mapping_area_island_new")
     for out, (city, province) in roles.items():
         df = lookup(df, dim, {city: "city", province: "province"}, {out: "pulau"})
     return df
@@ -89,14 +89,14 @@ def island_of(df: DataFrame, t: Tables, roles: Mapping[str, tuple[str, str]]) ->
 def recent_scans(t: Tables, days: int, clock: Clock) -> DataFrame:
     """Scans of known parcels in the look-back, with the decoded operation."""
     rows = recent_rows(t["waybill_waybill_line"].where(F.col(KEY).isNotNull()), days, clock, "record_time")
-    return decode(rows, t["system_option"], "operation_type", "operationType", "operation_label")
+    return decode(rows, t.labels, "operation_type", "operationType", "operation_label")
 
 
 def recent_problems(t: Tables, days: int, clock: Clock) -> DataFrame:
     """Problem records in the look-back without the ignored type, with the decoded type."""
     rows = t["waybill_problem_piece"].where(F.col(KEY).isNotNull() & (F.col("problem_type") != IGNORED_PROBLEM_TYPE))
     rows = recent_rows(rows, days, clock, "operation_time")
-    return decode(rows, t["system_option"], "problem_type", "problemType", "problem_label")
+    return decode(rows, t.labels, "problem_type", "problemType", "problem_label")
 
 
 def attempt_columns() -> dict[str, Column]:

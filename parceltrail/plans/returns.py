@@ -56,8 +56,8 @@ def open_returns(t: Tables, clock: Clock) -> DataFrame:
     """Newest recent return bill per parcel, as far as it is registered and not delivered."""
     rows = recent_rows(t["waybill_return_bill"], LOOK_BACK, clock, "update_time", "return_record_time")
     bills = current_returns(rows).where(F.col("return_pod_record_time").isNull())
-    bills = decode(bills, t["system_option"], "return_confirm_status", "returnConfirmStatus", "return_confirm_status")
-    live_types = t["return_type"].where(F.col("deleted") == 0)
+    bills = decode(bills, t.labels, "return_confirm_status", "returnConfirmStatus", "return_confirm_status")
+    live_types = t.dimension("return_type").where(F.col("deleted") == 0)
     bills = lookup(bills, live_types, {"return_type_id": "id"}, {"remarks_return": "return_type"})
     bills = bills.withColumns(
         {
@@ -102,7 +102,7 @@ def return_backlog(t: Tables, clock: Clock) -> DataFrame:
     rows = current_waybills(waybills).join(bills, KEY)
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "waybill_source": ("waybill_source", "waybillSource"),
             "express_type": ("express_type", "expressType"),

@@ -10,7 +10,7 @@ from parceltrail.functions.clock import Clock, local_date, past_cutoff
 from parceltrail.functions.status import seller_final_status, seller_status
 from parceltrail.functions.values import safe_int
 from parceltrail.operators.keyed import latest_per_key
-from parceltrail.operators.lookup import decode_all, having_key, lookup
+from parceltrail.operators.lookup import Dimension, decode_all, having_key, lookup
 from parceltrail.operators.merge import merge, only_left, only_right, prefer_left, right_once_set
 from parceltrail.operators.summary import at_latest, attach, summarise
 from parceltrail.plans.parts import (
@@ -252,7 +252,7 @@ def orders(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     )
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "order_source": ("order_source", "orderSource"),
             "order_status": ("order_status", "orderStatus"),
@@ -278,13 +278,13 @@ def orders(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     )
     rows = lookup(
         rows,
-        t["masterdata_sales_source"],
+        t.dimension("masterdata_sales_source"),
         {"order_source": "source"},
         {"__source_division": "division", "__source_sales": "sales_name"},
     )
     rows = lookup(
         rows,
-        t["masterdata_sales_seller_vip"],
+        t.dimension("masterdata_sales_seller_vip"),
         {"vip_customer_name": "seller_name"},
         {"__seller_division": "division", "__seller_sales": "sales_name"},
     )
@@ -340,7 +340,7 @@ def orders(t: Tables, clock: Clock, keys: DataFrame | None = None) -> DataFrame:
     )
 
 
-def current_prices(t: Tables, clock: Clock) -> DataFrame:
+def current_prices(t: Tables, clock: Clock) -> Dimension:
     """Unexpired price rows, newest per search code, then newest per (client, origin, destination, express type)."""
     rows = t["standard_shipping_fee"].where(
         (F.col("end_expire_time") >= F.lit(clock.as_of))
@@ -349,7 +349,7 @@ def current_prices(t: Tables, clock: Clock) -> DataFrame:
     )
     rows = latest_per_key(rows, ["search_code"], "created_at", ["max_sla"])
     lane = ["shipping_client_id", "sender_location_id", "recipient_location_id", "express_type"]
-    return latest_per_key(rows, lane, "created_at", ["max_sla", "search_code"])
+    return Dimension(latest_per_key(rows, lane, "created_at", ["max_sla", "search_code"]), tuple(lane), True)
 
 
 def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadline: bool = False) -> DataFrame:
@@ -381,16 +381,16 @@ def waybills(t: Tables, clock: Clock, keys: DataFrame | None = None, local_deadl
         },
         {"__price_days": "max_sla"},
     )
-    rows = lookup(rows, t["return_type"], {"return_type_id": "id"}, {"remark_return": "return_type"})
+    rows = lookup(rows, t.dimension("return_type"), {"return_type_id": "id"}, {"remark_return": "return_type"})
     rows = lookup(
         rows,
-        t["masterdata_sla_shopee"],
+        t.dimension("masterdata_sla_shopee"),
         {"recipient_city_name": "destination_city", "sender_city_name": "origin_city"},
         {"__city_sla": "sla"},
     )
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "void_status": ("void_flag", "voidFlag"),
             "waybill_status": ("waybill_status", "waybillStatus"),

@@ -61,7 +61,7 @@ def open_vip_versions(t: Tables, clock: Clock) -> DataFrame:
     )
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {"waybill_source": ("waybill_source", "waybillSource"), "waybill_status": ("waybill_status", "waybillStatus")},
     )
     return rows.where(

@@ -44,11 +44,11 @@ GROUP = [
 
 def vip_parcels(t: Tables, clock: Clock) -> DataFrame:
     rows = recent_rows(t["dm_waybill_waybill"], LOOK_BACK, clock, "shipping_time").where(F.col("void_flag") == "0")
-    rows = decode(rows, t["system_option"], "waybill_source", "waybillSource", "waybill_source")
+    rows = decode(rows, t.labels, "waybill_source", "waybillSource", "waybill_source")
     rows = current_waybills(rows.where(F.col("waybill_source") == SELLER_PORTAL))
     rows = decode_all(
         rows,
-        t["system_option"],
+        t.labels,
         {
             "waybill_status": ("waybill_status", "waybillStatus"),
             "return_flag": ("return_flag", "returnFlag"),
@@ -57,11 +57,11 @@ def vip_parcels(t: Tables, clock: Clock) -> DataFrame:
         },
     )
     rows = lookup(
-        rows, t["masterdata_branch_coverage_th"], {"recipient_district_id": "district_id"}, {"__hub": "branch_name"}
+        rows, t.dimension("masterdata_branch_coverage_th"), {"recipient_district_id": "district_id"}, {"__hub": "branch_name"}
     )
     rows = lookup(
         rows,
-        t["masterdata_sales_seller_vip"],
+        t.dimension("masterdata_sales_seller_vip"),
         {"vip_customer_name": "seller_name"},
         {"__division": "division", "__sales": "sales_name"},
     )

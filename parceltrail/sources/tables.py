@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parceltrail.operators.lookup import Dimension, Labels
 from parceltrail.session import prepare, require_utc
 
 
@@ -169,6 +170,8 @@ class Tables:
 
     def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._frames = dict(frames)
+        self._dimensions: dict[str, Dimension] = {}
+        self._labels: Labels | None = None
         for df in self._frames.values():
             if isinstance(df, DataFrame):
                 require_utc(df.sparkSession)
@@ -216,18 +219,32 @@ class Tables:
         return list(self._frames.items())
 
     def with_table(self, name: str, df: DataFrame | Callable[[], DataFrame]) -> Tables:
-        return Tables({**self._frames, name: df})
+        """These tables with another one; what is known about the others' keys and labels stays known."""
+        other = Tables({**self._frames, name: df})
+        other._dimensions = {n: dim for n, dim in self._dimensions.items() if n != name}
+        other._labels = None if name == "system_option" else self._labels
+        return other
+
+    @property
+    def labels(self) -> Labels:
+        """The labels of coded columns, read when first asked for."""
+        if self._labels is None:
+            self._labels = Labels.read(self["system_option"])
+        return self._labels
+
+    def dimension(self, name: str) -> Dimension:
+        """A dimension of UNIQUE_KEYS; whether its key repeats is looked up once, for all lookups of all reports."""
+        if name not in self._dimensions:
+            keys, rows = UNIQUE_KEYS[name]
+            self._dimensions[name] = Dimension.counted(self[name].where(rows), keys)
+        return self._dimensions[name]
 
     def check_unique(self, *names: str) -> None:
         """Raise when a dimension repeats a key that lookups rely on; all loaded dimensions by default."""
         for name in names or [n for n in UNIQUE_KEYS if n in self._frames]:
             keys, rows = UNIQUE_KEYS[name]
             assert_unique(self[name].where(rows), keys, name)
-
-
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The exported cargo sheet as CSV with a header; dates stay text until the plan parses them."""
-    return spark.read.schema(SCHEMAS["smu_template_2"]).csv(path, header=True)
+            self._dimensions[name] = Dimension(self[name].where(rows), keys, True)
 
 
 def write_mart(

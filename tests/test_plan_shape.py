@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import table, utc
+from helpers import options, table, utc
 from parceltrail import plans
 from parceltrail.checks import domain
 from parceltrail.checks.marts import MARTS
@@ -70,7 +70,8 @@ def test_daily_report_shuffles_each_fact_once(spark, tmp_path):
 
 def empty_tables(spark, tmp_path, **dated):
     for name in SCHEMAS:
-        rows = table(spark, name, [{dated[name]: utc("2024-01-30 00:00:00")}] if name in dated else [])
+        known = options(**domain._OPTIONS) if name == "system_option" else []
+        rows = table(spark, name, [{dated[name]: utc("2024-01-30 00:00:00")}] if name in dated else known)
         if name in dated:
             rows = rows.withColumn(utc_date_column(dated[name]), F.to_date(dated[name]))
             rows.write.partitionBy(utc_date_column(dated[name])).parquet(str(tmp_path / name))
@@ -83,9 +84,10 @@ def test_dwell_reads_the_log_once_and_splits_hot_parcels_by_bucket(spark, tmp_pa
     t = empty_tables(spark, tmp_path)
     plan = plan_of(plans.longest_dwell(t, domain.CLOCK))
     assert plan.count("FileScan parquet [waybill_no") - plan.count("waybill_waybill]") - plan.count("waybill_return_bill]") == 1
-    assert "__bucket" not in plan
+    assert re.search(r"hashpartitioning\(waybill_no#\d+, __bucket#\d+, \d+\), REPARTITION", plan)
+    assert "__hot_" not in plan
     split = plan_of(plans.longest_dwell(t, domain.CLOCK, hot_rows=1_000_000))
-    assert re.search(r"hashpartitioning\(waybill_no#\d+, __bucket#\d+, \d+\), REPARTITION", split)
+    assert re.search(r"hashpartitioning\(waybill_no#\d+, __bucket#\d+, __cut#\d+, \d+\), REPARTITION", split)
 
 
 DATED = {

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import table, tables, utc
-from parceltrail.sources.tables import SCHEMAS, Tables, duplicate_keys, read_mart, read_sheet, write_mart
+from parceltrail.sources.sheets import read_sheet, rejected_rows
+from parceltrail.sources.tables import SCHEMAS, Tables, duplicate_keys, read_mart, write_mart
 
 
 def test_unique_keys_are_checked(spark):
@@ -40,6 +41,46 @@ def test_sheet_is_read_from_csv(spark, tmp_path):
     assert (row["report_date"], row["no_of_packages"], float(row["smu_weight"])) == ("07/15/2023", 3, 1.5)
 
 
+GOOD = ["07/15/2023", "CGK", "H1", "H2", "3", "1.5", "BM1", "VM1", "Java", "S1", "100", "F1", "A", "V"]
+
+
+@pytest.mark.parametrize(
+    ("place", "cell", "reason"),
+    [
+        (4, "three", "no_of_packages is no number"),
+        (4, "3.7", "no_of_packages is no number"),
+        (5, "1,5", "smu_weight is no number"),
+        (5, "1e400", "smu_weight is no number"),
+        (10, "Rp 100", "total_smu_fee is no number"),
+        (0, "2023-07-15", "report_date is no date"),
+        (0, "13/45/2023", "report_date is no date"),
+        (0, None, None),
+        (4, None, None),
+        (4, " 3 ", None),
+        (6, "not a number", None),
+    ],
+)
+def test_a_bad_cell_is_reported_and_never_null(spark, tmp_path, place, cell, reason):
+    path, cells = tmp_path / "sheet.csv", [*GOOD]
+    cells[place] = "" if cell is None else f'"{cell}"'
+    path.write_text("\n".join([",".join(SCHEMAS["smu_template_2"].fieldNames()), ",".join(GOOD), ",".join(cells)]) + "\n")
+    rejected = rejected_rows(spark, str(path)).collect()
+    assert read_sheet(spark, str(path)).count() == (2 if reason is None else 1)
+    assert [r["reason"] for r in rejected] == ([] if reason is None else [reason])
+    assert all(cell in r["line"] for r in rejected)
+
+
+def test_rows_of_other_widths_are_rejected_whole(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    lines = [",".join(SCHEMAS["smu_template_2"].fieldNames()), ",".join(GOOD), ",".join(GOOD[:9]), ",".join([*GOOD, "more"])]
+    path.write_text("\n".join(lines) + "\n")
+    assert read_sheet(spark, str(path)).count() == 1
+    assert {(r["line"], r["reason"]) for r in rejected_rows(spark, str(path)).collect()} == {
+        (lines[2], "wrong number of cells"),
+        (lines[3], "wrong number of cells"),
+    }
+
+
 def test_parquet_and_catalog_readers(spark, tmp_path):
     rows = table(spark, "waybill_waybill_line", [{"waybill_no": "A", "record_time": utc("2024-01-01 00:00:00"), "operation_type": "09"}])
     rows.write.parquet(str(tmp_path / "waybill_waybill_line"))
