@@ -1,6 +1,6 @@
 """Sources and sinks as queries: a sheet as CSV, a mart written and read back.
 
-Files go below the cluster's shared folder (spark.checkpoint.dir); a session without one gets a temporary folder.
+Files go below the cluster's shared folder (spark.checkpoint.dir); a local session without one gets a temporary folder.
 """
 
 from __future__ import annotations
@@ -11,18 +11,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail import plans
+from parceltrail import plans, refresh
 from parceltrail.checks import mart_sql
+from parceltrail.checks.keyed_checks import STAR_SQL, one_pass_summary
 from parceltrail.checks.compare import typed
 from parceltrail.checks.domain import CLOCK, tables, with_tables
 from parceltrail.checks.registry import Registry, Source
-from parceltrail.sources.tables import read_mart, read_sheet, write_mart
+from parceltrail.sources.clustered import read_clustered, write_clustered
+from parceltrail.sources.sheets import read_sheet, rejected_rows
+from parceltrail.sources.tables import Tables, read_mart, write_mart
 
 registry = Registry()
 
 
 def folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checks-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="checks-")
     return f"{shared.rstrip('/')}/checks-{uuid.uuid4().hex}"
 
 
@@ -36,6 +43,30 @@ def sheet_read(s: Source) -> DataFrame:
     return read_sheet(s.spark, path)
 
 
+_SPOILED = "bm_code LIKE 'BM_' AND vm_code IS NOT NULL"
+
+
+@registry.check(
+    f"""{with_tables('smu_template_2')}
+SELECT smu_booking_code, CASE WHEN vm_code = 'VM0' THEN 'report_date is no date' WHEN vm_code = 'VM1' THEN 'total_smu_fee is no number'
+  ELSE 'no_of_packages is no number; report_date is no date' END AS reason
+FROM smu_template_2 WHERE {_SPOILED}"""
+)
+def sheet_rejects(s: Source) -> DataFrame:
+    """Some cells of the sheet are spoiled before it is written; exactly their rows are reported, cell by cell."""
+    path, vehicle = folder(s.spark), F.col("vm_code")
+    sheet = tables(s.spark, s.sf_dir)["smu_template_2"]
+    spoiled = F.expr(_SPOILED)
+    cells = {
+        "report_date": F.when(spoiled & (vehicle != "VM1"), "31/31/2023").otherwise(F.col("report_date")),
+        "total_smu_fee": F.when(spoiled & (vehicle == "VM1"), "1,5 kg").otherwise(F.col("total_smu_fee").cast("string")),
+        "no_of_packages": F.when(spoiled & ~vehicle.isin("VM0", "VM1"), "two").otherwise(F.col("no_of_packages").cast("string")),
+    }
+    sheet.withColumns(cells).write.csv(path, header=True)
+    code = F.regexp_extract("line", "SMU[0-9]+", 0).alias("smu_booking_code")
+    return rejected_rows(s.spark, path).select(code, "reason")
+
+
 @registry.check(mart_sql.return_backlog())
 def mart_write_read(s: Source) -> DataFrame:
     path = folder(s.spark)
@@ -52,3 +83,32 @@ def dwell_union_of_stored_marts(s: Source) -> DataFrame:
         write_mart(rows.withColumn("mart_date", F.to_date("shipping_time")), f"{path}/{half}", ["mart_date"])
     forward, returned = (read_mart(s.spark, f"{path}/{half}") for half in (False, True))
     return plans.longest_dwell_union(forward, returned, CLOCK)
+
+
+@registry.check(mart_sql.dwell(False))
+def mart_refreshed(s: Source) -> DataFrame:
+    """A mart stored from part of the facts and refreshed after the rest came in, scans of all times and versions of parcels."""
+    path, t = folder(s.spark), tables(s.spark, s.sf_dir)
+    names = ["waybill_waybill", "waybill_return_bill", "waybill_waybill_line", "system_option"]
+    late = {"waybill_waybill_line": F.col("photo_url").endswith("3"), "waybill_waybill": F.xxhash64("waybill_no", "update_time") % 7 == 0}
+    for name in names:
+        held = late.get(name, F.lit(False))
+        t[name].where(~F.coalesce(held, F.lit(False))).write.parquet(f"{path}/in/{name}")
+    for name in [None, *late]:
+        if name:
+            t[name].where(late[name]).write.mode("append").parquet(f"{path}/in/{name}")
+        stored = Tables.from_parquet(s.spark, f"{path}/in", names)
+        rows = lambda part: plans.longest_dwell(part, CLOCK).withColumn("mart_date", F.to_date("shipping_time"))
+        refresh.refresh(stored, names, rows, f"{path}/mart", "mart_date", f"{path}/state", refresh.day_of(CLOCK))
+    return read_mart(s.spark, f"{path}/mart").drop("mart_date")
+
+
+@registry.check(STAR_SQL)
+def clustered_log_summary(s: Source) -> DataFrame:
+    """The one-pass summary over a log clustered by its key: no exchange and no sort."""
+    table = f"clustered_{uuid.uuid4().hex}"
+    write_clustered(s.events, table, 8, hot_rows=1 << 40, key="user_id", path=folder(s.spark))
+    rows = one_pass_summary(read_clustered(s.spark, table))
+    rows.schema  # resolved here: the external files stay when the name goes
+    s.spark.sql(f"DROP TABLE {table}")
+    return rows

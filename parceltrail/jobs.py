@@ -3,7 +3,9 @@
     spark-submit parceltrail/jobs.py daily_report --tables /data/parcels --marts /data/marts
     spark-submit parceltrail/jobs.py longest_dwell_union --tables /data/parcels --marts /data/marts
 
-Reports that build on stored marts (the dwell union, the cargo sheet reports) read them from the same mart folder.
+Reports that build on stored marts (the dwell union, the cargo sheet reports) read them from the same mart folder. With
+`--incremental`, marts of single parcels are refreshed: see parceltrail/refresh.py. Rows of the cargo sheet that its schema
+can't parse are stored beside the marts, in `smu_template_2_rejected`.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ from parceltrail import plans
 from parceltrail.functions.clock import DEFAULT_ZONE, Clock
 from parceltrail.functions.pickup import SELLER_PORTAL
 from parceltrail.plans.dwell import MART_DATE
+from parceltrail.refresh import day_of, refresh
 from parceltrail.session import prepare
-from parceltrail.sources.tables import Tables, read_mart, read_sheet, write_mart
+from parceltrail.sources.sheets import SHEET, read_sheet, rejected_rows
+from parceltrail.sources.tables import Tables, read_mart, write_mart
 
 Stored = Callable[[str], DataFrame]
 
@@ -28,8 +32,8 @@ Stored = Callable[[str], DataFrame]
 REPORTS: dict[str, tuple[Callable[[Tables, Clock, Stored, argparse.Namespace], DataFrame], str | None]] = {
     "daily_report": (lambda t, c, stored, o: plans.daily_report(t, c), "waktu_input"),
     "courier_incentive": (lambda t, c, stored, o: plans.courier_incentive(t, c), "tgl_tugas"),
-    "longest_dwell_forward": (lambda t, c, stored, o: plans.longest_dwell(t, c, returned=False), "shipping_time"),
-    "longest_dwell_returned": (lambda t, c, stored, o: plans.longest_dwell(t, c, returned=True), "shipping_time"),
+    "longest_dwell_forward": (lambda t, c, stored, o: plans.longest_dwell(t, c, returned=False, hot_rows=o.hot_rows), "shipping_time"),
+    "longest_dwell_returned": (lambda t, c, stored, o: plans.longest_dwell(t, c, returned=True, hot_rows=o.hot_rows), "shipping_time"),
     "longest_dwell_union": (
         lambda t, c, stored, o: plans.longest_dwell_union(
             stored("longest_dwell_forward"), stored("longest_dwell_returned"), c
@@ -56,6 +60,27 @@ REPORTS: dict[str, tuple[Callable[[Tables, Clock, Stored, argparse.Namespace], D
 }
 PARTITION = MART_DATE
 
+# Reports of single parcels, and the tables that they read: these can be refreshed.
+_DWELL = ["waybill_waybill", "waybill_return_bill", "waybill_waybill_line", "system_option"]
+REFRESHED: dict[str, list[str]] = {
+    "longest_dwell_forward": _DWELL,
+    "longest_dwell_returned": _DWELL,
+    "return_backlog": ["waybill_waybill", "waybill_return_bill", "system_option", "return_type", "mapping_kanwil_area"],
+    "daily_report": [
+        "order_order",
+        "waybill_waybill",
+        "waybill_return_bill",
+        "waybill_waybill_line",
+        "waybill_problem_piece",
+        "system_option",
+        "res_problem_package",
+        "mapping_kanwil_area",
+        "masterdata_sla_shopee",
+        "masterdata_city_mapping_area_island_new",
+        "return_type",
+    ],
+}
+
 
 def period(options: argparse.Namespace) -> plans.CargoPeriod:
     """The cargo period: the days given, the others as they are by default."""
@@ -69,7 +94,7 @@ def tables(spark: SparkSession, options: argparse.Namespace) -> Tables:
     t = Tables.from_parquet(spark, options.tables, dated=dated) if options.tables else Tables({})
     for name, frame in Tables.from_catalog(spark, dict(pair.split("=", 1) for pair in options.catalog)).sources():
         t = t.with_table(name, frame)
-    return t.with_table("smu_template_2", lambda: read_sheet(spark, options.sheet)) if options.sheet else t
+    return t.with_table(SHEET, lambda: read_sheet(spark, options.sheet)) if options.sheet else t
 
 
 def run(spark: SparkSession, name: str, options: argparse.Namespace) -> None:
@@ -82,11 +107,19 @@ def run(spark: SparkSession, name: str, options: argparse.Namespace) -> None:
     def stored(mart: str) -> DataFrame:
         return read_mart(spark, f"{options.marts}/{mart}")
 
+    if options.sheet:
+        write_mart(rejected_rows(spark, options.sheet), f"{options.marts}/{SHEET}_rejected")
     report, day = REPORTS[name]
-    rows = report(t, clock, stored, options)
-    if day is not None:
-        rows = rows.withColumn(PARTITION, F.to_date(day))
-    write_mart(rows, f"{options.marts}/{name}", [PARTITION] if day is not None else [])
+    target = f"{options.marts}/{name}"
+
+    def rows(tables_read: Tables) -> DataFrame:
+        found = report(tables_read, clock, stored, options)
+        return found if day is None else found.withColumn(PARTITION, F.to_date(day))
+
+    if options.incremental and name in REFRESHED:
+        refresh(t, REFRESHED[name], rows, target, PARTITION, f"{options.marts}/_refresh/{name}", day_of(clock))
+    else:
+        write_mart(rows(t), target, [PARTITION] if day is not None else [])
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -106,6 +139,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--min-problems", type=int, default=2, help="problem scans from which a parcel is reported")
     for field in fields(plans.CargoPeriod):
         parser.add_argument(f"--{field.name.replace('_', '-')}", help=f"cargo period, UTC day; default {field.default}")
+    parser.add_argument(
+        "--hot-rows", type=int, default=10_000_000, help="scans of a parcel in one hour from which they are split further"
+    )
+    parser.add_argument("--incremental", action="store_true", help="rewrite only partitions of parcels with new rows")
     parser.add_argument("--check-keys", action="store_true", help="fail on dimensions with repeated keys")
     options = parser.parse_args(arguments)
     run(SparkSession.builder.appName(f"parceltrail {options.report}").getOrCreate(), options.report, options)

@@ -23,7 +23,7 @@ def stored(spark, sf_dir, tmp_path_factory):
 def options(root, marts, **more):
     base = dict(tables=root, marts=marts, as_of="2024-01-31T03:00:00Z", zone="Asia/Jakarta", sheet=None, username=None)
     period = dict.fromkeys(["first", "last", "sending_first", "shipped_first", "shipped_last"])
-    rest = dict(check_keys=False, catalog=[], dated=[], source=pickup.SELLER_PORTAL, min_problems=2)
+    rest = dict(check_keys=False, catalog=[], dated=[], source=pickup.SELLER_PORTAL, min_problems=2, hot_rows=None, incremental=False)
     return argparse.Namespace(**{**base, **period, **rest, **more})
 
 
