@@ -58,6 +58,15 @@ def unassigned() -> re.Pattern[str]:
     return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())) + "]")
 
 
+def holds_unassigned(text: str) -> bool:
+    """Whether a text holds such a code point; texts of Latin letters alone are told by their encoding."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return unassigned().search("".join(set(text))) is not None
+    return False
+
+
 def spans(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the pieces flat[start:stop] in a row, their offsets)."""
     sizes = stops - starts
@@ -186,8 +195,8 @@ class WordBpe:
     @staticmethod
     def _plain(text: str) -> list[str]:
         if not text.isascii():
-            if unassigned().search(text):
-                units = [(RAW + u,) if unassigned().search(u) else WordBpe._plain(u) for u in _SPACED.findall(text)]
+            if holds_unassigned(text):
+                units = [(RAW + u,) if holds_unassigned(u) else WordBpe._plain(u) for u in _SPACED.findall(text)]
                 return list(itertools.chain.from_iterable(units))
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
