@@ -40,6 +40,8 @@ from parceltrail.llm.rolling import PrefixHash, distinct, mixed
 
 WIDTH, GRAM = 50, 20
 CHUNK_BYTES, BUCKET_ANCHORS, HOT_CHUNKS = 2_000_000, 250_000, 1024
+#: Bytes of text for each partition of the exchanges, where that makes more of them than the session has.
+PART_BYTES = 64 << 20
 LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 31) - 1)
 
@@ -482,7 +484,11 @@ def cut_out(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
 
 
 def remove_repeats(
-    docs: DataFrame, with_kept: bool = True, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS
+    docs: DataFrame,
+    with_kept: bool = True,
+    chunk_bytes: int = CHUNK_BYTES,
+    hot_chunks: int = HOT_CHUNKS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the bytes that are kept, of every row."""
     doc_id = F.col("doc_id").cast("long")
@@ -493,11 +499,15 @@ def remove_repeats(
     source = docs.select(doc_id.alias("doc_id"), text.alias("text"), F.coalesce(doc_id, F.lit(LAST)).alias("rank"), F.xxhash64(text).alias("mark"))
     source = source.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(chunks)))
 
-    by_chunk = source.groupBy("chunk")
+    # Chunks and buckets grow in number with the input, and so do the partitions that they are dealt to.
+    parts = math.ceil(total / part_bytes)
+    grown = [parts] if parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+    by_chunk = (source.repartition(*grown, "chunk") if grown else source).groupBy("chunk")
     sent = by_chunk.applyInArrow(send_anchors(buckets), "bucket long, chunk long, sent binary")
-    answers = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer_anchors(hot_chunks), "chunk long, held binary")
+    answers = sent.repartition(*grown, "bucket").sortWithinPartitions("bucket").mapInArrow(answer_anchors(hot_chunks), "chunk long, held binary")
     contexts = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(send_contexts(buckets), CONTEXTS)
-    found = contexts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer_contexts, "chunk long, found binary")
+    found = contexts.repartition(*grown, "bucket").sortWithinPartitions("bucket").mapInArrow(answer_contexts, "chunk long, found binary")
     if with_kept:
         return by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(cut_out, RESULT)
 

@@ -228,10 +228,10 @@ def repeats_expected(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("chunk_bytes", "hot_chunks"), [(2_000_000, 256), (20_000, 3), (3_000, 2)])
-def test_repeated_strings(docs, plain_docs, odd, odd_rows, chunk_bytes, hot_chunks):
+@pytest.mark.parametrize(("chunk_bytes", "hot_chunks", "part_bytes"), [(2_000_000, 256, 1 << 26), (20_000, 3, 30_000), (3_000, 2, 1 << 26)])
+def test_repeated_strings(docs, plain_docs, odd, odd_rows, chunk_bytes, hot_chunks, part_bytes):
     for frame, rows in ((docs, plain_docs), (odd, odd_rows)):
-        got = suffix_dedup.remove_repeats(frame, False, chunk_bytes, hot_chunks).collect()
+        got = suffix_dedup.remove_repeats(frame, False, chunk_bytes, hot_chunks, part_bytes).collect()
         assert sorted(map(tuple, got), key=str) == repeats_expected([(r[0], (r[1] or "").encode()) for r in rows])
 
 
