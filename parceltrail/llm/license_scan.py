@@ -1,8 +1,8 @@
 """Operator 10: license scans by ordered signature rules.
 
 Rules are hand-written patterns: signatures of license texts, notices, identifiers and addresses, statements that name no
-license, and a table of license names in a few sentence frames; some hundreds of regular expressions. Each has a keyword that
-every match holds, and only rules whose keyword a text holds run on it. Detections are resolved in order of priority, then
+license, and a table of license names in a few sentence frames; some hundreds of regular expressions. Each has keywords that
+every match holds, and only rules whose keywords a text holds run on it. Detections are resolved in order of priority, then
 length, then place: one whose interval lies inside an accepted detection's is suppressed. Exact phrases (`PHRASES`) have the
 highest priority and always stay.
 
@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -127,7 +128,7 @@ FRAMES = [
 #: priority and confidence of signatures by kind.
 KINDS = {"address": (75, 0.97), "text": (70, 0.95), "notice": (65, 0.9), "id": (33, 0.85), "statement": (30, 0.65), "hint": (10, 0.3)}
 
-#: kind, label, pattern. The longest plain word of a pattern outside brackets is its keyword.
+#: kind, label, pattern. The three longest plain words of a pattern outside brackets are its keywords.
 SIGNATURES = [
     # Texts of licenses.
     ("text", "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -300,7 +301,7 @@ SIGNATURES = [
     ("id", "agpl-3", "agpl~v~3"),
     ("id", "apache-1.1", "apache 1 1"),
     ("id", "apache-2", "apache 2 0"),
-    ("id", "apache-2", "al2|asl{v}2(?: 0)?"),
+    ("id", "apache-2", "asl{v}2(?: 0)?"),
     ("id", "bsd-0-clause", "0bsd"),
     ("id", "bsd-2-clause", "bsd 2 clause(?: patent| views)?"),
     ("id", "bsd-3-clause", "bsd 3 clause(?: clear| lbnl)?"),
@@ -375,16 +376,17 @@ def compiled(pattern: str) -> re.Pattern[bytes]:
     return re.compile(f"(?<!{WORD})(?:{spaced})(?!{WORD})".encode("latin-1"), re.DOTALL)
 
 
-def keyword_of(pattern: str) -> bytes:
-    """The longest plain word that every match of a pattern holds, or nothing if it has alternatives outside brackets."""
+def keywords_of(pattern: str) -> tuple[bytes, ...]:
+    """The three longest plain words outside brackets, which every match of a pattern without alternatives there holds."""
     depth, plain = 0, ""
+    pattern = pattern.replace("{v}", "~")
     for at, sign in enumerate(pattern):
-        depth += (sign == "(") - (sign == ")")
-        bare = depth == 0 and (sign.isalnum() or sign == " ") and pattern[at + 1 : at + 2] not in ("?", "*", "{")
-        if depth == 0 and sign == "|":
-            return b""
-        plain += sign if bare else "\n"
-    return max(re.findall("[0-9a-z]+", plain), key=len, default="").encode()
+        depth += (sign in "([") - (sign in ")]")
+        assert sign != "|" or depth, f"{pattern}: alternatives without a word in common"
+        bare = depth == 0 and sign.isalnum() and pattern[at + 1 : at + 2] not in ("?", "*")
+        plain += sign if bare else " "
+    words = sorted(set(plain.split()), key=lambda word: (-len(word), word))
+    return tuple(word.encode() for word in words[:3])
 
 
 @functools.lru_cache(maxsize=1)
@@ -395,12 +397,20 @@ def rules() -> list[Rule]:
         for priority, confidence, word, frame in FRAMES
         for label, keyword, name in FAMILIES
     ]
-    return named + [Rule(label, (keyword_of(pattern),), *KINDS[kind], compiled(pattern)) for kind, label, pattern in SIGNATURES]
+    return named + [Rule(label, keywords_of(pattern), *KINDS[kind], compiled(pattern)) for kind, label, pattern in SIGNATURES]
 
 
 @functools.lru_cache(maxsize=1)
-def keywords() -> list[bytes]:
-    return sorted({k for rule in rules() for k in rule.keywords})
+def keywords() -> ahocorasick.Automaton:
+    """Finds all keywords in one pass over a text of one-byte characters, each with the rules that it is the first one of."""
+    found: dict[bytes, list[Rule]] = {k: [] for rule in rules() for k in rule.keywords}
+    for rule in rules():
+        found[rule.keywords[0]].append(rule)
+    automaton = ahocorasick.Automaton()
+    for keyword, own in found.items():
+        automaton.add_word(keyword.decode("latin-1"), (keyword, own))
+    automaton.make_automaton()
+    return automaton
 
 
 @functools.lru_cache(maxsize=1)
@@ -436,10 +446,11 @@ def base_detections(text: bytes) -> list[Detection]:
 def detections(text: bytes) -> list[Detection]:
     """Resolved detections of lowered text, by place."""
     found = base_detections(text)
-    held = {k for k in keywords() if k in text}
-    for rule in rules() if held else ():
-        if held.issuperset(rule.keywords):
-            found += [Detection(*m.span(), rule.priority, rule.confidence, rule.label) for m in rule.pattern.finditer(text)]
+    held = dict(hit for _, hit in keywords().iter(text.decode("latin-1")))
+    for own in held.values():
+        for rule in own:
+            if all(k in held for k in rule.keywords):
+                found += [Detection(*m.span(), rule.priority, rule.confidence, rule.label) for m in rule.pattern.finditer(text)]
     return resolved(found)
 
 
