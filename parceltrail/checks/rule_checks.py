@@ -356,7 +356,7 @@ FROM (
 WHERE lane_place = 1""")
 def price_effective(s: Source) -> DataFrame:
     t = domain.tables(s.spark, s.sf_dir)
-    return current_prices(t, domain.CLOCK).select(
+    return current_prices(t, domain.CLOCK).rows.select(
         "shipping_client_id",
         "sender_location_id",
         "recipient_location_id",
