@@ -108,6 +108,61 @@ def test_class_model_against_brute_force(request, name):
     assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted(want)
 
 
+def test_words_beyond_the_list_are_clustered_too(spark, monkeypatch):
+    """Words of min_count occurrences that no task can hold go to their best class; the model is that of the moved classes."""
+    rng = np.random.default_rng(5)
+    spelled = [f"{'abcdefgh'[k % 8]}{k}{'xyz'[k % 3]}" for k in range(400)]
+    weight = 1 / np.arange(3, 403)
+    texts = [" ".join(rng.choice(spelled, rng.integers(0, 40), p=weight / weight.sum())) for _ in range(300)]
+    texts += ["a398z a398z a399x a398z", None, "", "unseen a398z a399x"] * 4
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    learned = frame.where(class_lm.fold() != class_lm.HELD_OUT_FOLD)
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    known = [words(t) for d, t in enumerate(texts) if not held(d)]
+    count = Counter(w for own in known for w in own)
+    tokens = sum(count.values()) + len(known)
+    monkeypatch.setattr(class_lm, "FREQUENT", tokens // 30)  # words of 30 occurrences are listed
+    model = class_lm.fit(learned, min_count=4)
+    start, end = plain_classes(model), class_lm.CLASSES
+    later = [w for w, n in count.items() if 4 <= n < max(2, tokens / class_lm.FREQUENT)]
+    assert len(later) > len(model.classes.of_word) > 0
+
+    def counted(of):
+        pairs = np.zeros((end + 1, end + 1))
+        for own in known:
+            path = [end, *map(of, own), end]
+            np.add.at(pairs, (path[:-1], path[1:]), 1)
+        return pairs
+
+    table, want = counted(start), {}
+    for word in later:
+        into, out, loop = np.zeros((1, end + 1)), np.zeros((1, end + 1)), np.zeros(1)
+        for own in known:
+            for k, w in enumerate(own):
+                if w == word:
+                    into[0, start(own[k - 1]) if k else end] += 1
+                    out[0, start(own[k + 1]) if k + 1 < len(own) else end] += 1
+                    loop += k + 1 < len(own) and own[k + 1] == word
+        gain = class_lm.gains(table, into, out, loop, np.array([start(word)]))[0]
+        if gain.max() > gain[start(word)] + 1e-9:
+            want[word] = int(gain.argmax())
+    got = {r.word: r.now for r in model.moves.collect()}
+    assert got == want and len(want) > 20
+    assert any(a in want and b in want for own in known for a, b in zip(own, own[1:]))
+
+    of = lambda w: want.get(w) if w in want else start(w)
+    pairs = counted(of)
+    step = (pairs + (pairs.sum(0) + 1) / (pairs.sum() + end + 1)) / (pairs.sum(1, keepdims=True) + 1)
+    size = [sum(n + 1 for w, n in count.items() if of(w) == c) + 1 for c in range(end)] + [1]
+    assert np.allclose(model.transition, np.log10(step)) and np.allclose(10**model.class_size, size)
+    scores = {r.doc_id: r.score for r in class_lm.score(frame, model, len(known)).collect()}
+    for doc_id, text in enumerate(texts):
+        own = words(text)
+        path = [end, *map(of, own), end]
+        plain = sum(math.log10((count[w] + 1) / size[of(w)]) for w in own) + sum(math.log10(step[a, b]) for a, b in zip(path, path[1:]))
+        assert math.isclose(scores[doc_id], plain, rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_moves_follow_the_likelihood():
     """The gain of a move is what the class bigrams' likelihood gains by it, recounted from the words."""
     dice = np.random.default_rng(3)
@@ -131,6 +186,25 @@ def test_moves_follow_the_likelihood():
             assert math.isclose(gain[w, c] - gain[w, of[w]], likelihood(other) - likelihood(of), abs_tol=1e-6)
 
 
+def test_gains_of_words_with_few_neighbours():
+    """The shorter sum has the same gains, with the word's own class, itself and nothing beside it."""
+    dice = np.random.default_rng(4)
+    table = dice.integers(0, 2, (41, 41)) * dice.integers(0, 5, (41, 41))
+    table[5], table[:, 6] = 0, 0
+    of = np.r_[dice.integers(0, 7, 40), 7]
+    hot = np.eye(8)[of]
+    at = np.arange(40)
+    given = (hot.T @ table @ hot, (table.T @ hot)[:40], (table @ hot)[:40], table[at, at].astype(float), of[:40])
+    got, want = class_lm.few_gains(*given), class_lm.gains(*given)
+    assert np.allclose(got[:, :-1], want[:, :-1], atol=1e-7) and (got[:, -1] == -np.inf).all()
+
+
+def test_contexts_are_packed_without_loss():
+    for codes, n in (([], []), ([0, 3, 300], [1, 2, 3]), ([7, 70_000, 536_000], [1, 300, 1 << 40])):
+        got = class_lm.unpacked(*class_lm.packed(np.array(codes, np.int64), np.array(n, np.int64)))
+        assert [x.tolist() for x in got] == [codes, n]
+
+
 def test_rounds_in_spark_raise_the_likelihood(docs):
     held = {}
     for rounds in (0, 2):
