@@ -87,17 +87,24 @@ def dwell_union_of_stored_marts(s: Source) -> DataFrame:
 
 @registry.check(mart_sql.dwell(False))
 def mart_refreshed(s: Source) -> DataFrame:
-    """A mart stored from part of the facts and refreshed after the rest came in, scans of all times and versions of parcels."""
+    """A mart stored from part of the facts and refreshed after the rest came in, scans of all times and versions of parcels.
+
+    Each table is derived once: its rows are written in two parts, of which the second comes in later.
+    """
     path, t = folder(s.spark), tables(s.spark, s.sf_dir)
     names = ["waybill_waybill", "waybill_return_bill", "waybill_waybill_line", "system_option"]
     late = {"waybill_waybill_line": F.col("photo_url").endswith("3"), "waybill_waybill": F.xxhash64("waybill_no", "update_time") % 7 == 0}
     for name in names:
-        held = late.get(name, F.lit(False))
-        t[name].where(~F.coalesce(held, F.lit(False))).write.parquet(f"{path}/in/{name}")
+        rows = t[name].withColumn("late", F.coalesce(late.get(name, F.lit(False)), F.lit(False)))
+        rows.write.partitionBy("late").parquet(f"{path}/in/{name}")
+    first, rest = ({name: f"{path}/in/{name}/late={part}" for name in names} for part in ("false", "true"))
+    for part in [*first.values(), *rest.values()]:
+        refresh.make_folder(s.spark, part)  # a part without rows has none
     for name in [None, *late]:
         if name:
-            t[name].where(late[name]).write.mode("append").parquet(f"{path}/in/{name}")
-        stored = Tables.from_parquet(s.spark, f"{path}/in", names)
+            came = Tables.from_parquet(s.spark, path, [name], paths=rest)
+            came[name].write.mode("append").parquet(first[name])
+        stored = Tables.from_parquet(s.spark, path, names, paths=first)
         rows = lambda part: plans.longest_dwell(part, CLOCK).withColumn("mart_date", F.to_date("shipping_time"))
         refresh.refresh(stored, names, rows, f"{path}/mart", "mart_date", f"{path}/state", refresh.day_of(CLOCK))
     return read_mart(s.spark, f"{path}/mart").drop("mart_date")

@@ -45,6 +45,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, hadoop = _file_system(spark, path)
+    system.mkdirs(hadoop)
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     system, hadoop = _file_system(spark, path)
     return spark.read.schema("name string, path string").parquet(path) if system.exists(hadoop) else None
@@ -129,7 +134,7 @@ def _rewrite(
     stage: str,
     files: Mapping[str, Sequence[str]],
 ) -> None:
-    touched = parcels_in(spark, files)
+    touched = parcels_in(spark, files).persist()  # joined with every fact and three times with the mart
     part = t
     for name in set(names) & set(FACTS):
         part = part.with_table(name, only(t[name], touched))
@@ -140,9 +145,11 @@ def _rewrite(
     # One value for each day of the report's look-back at most.
     days = [row[0] for row in fresh.select(partition).unionByName(left).distinct().collect()]
     if not days:
+        touched.unpersist()
         return
     stays = only(old.where(_in(partition, days)), touched, "left_anti")
     filled = {row[0] for row in stays.select(partition).unionByName(fresh.select(partition)).distinct().collect()}
     # The old files are read before the commit that replaces them.
     write_mart(stays.unionByName(fresh), target, [partition], only_partitions=True)
     _drop_partitions(spark, target, partition, [day for day in days if day not in filled])
+    touched.unpersist()
