@@ -163,6 +163,55 @@ def test_words_beyond_the_list_are_clustered_too(spark, monkeypatch):
         assert math.isclose(scores[doc_id], plain, rel_tol=1e-9, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_words_beyond_the_list_make_no_rows_where_they_meet(spark, monkeypatch, apart):
+    """Every stored step has a row for each text, block of words or distinct word, and scores come from rows of texts alone."""
+    spelled = [f"{'abcdefgh'[k % 8]}{k}{'xyz'[k % 3]}" for k in range(60)]
+    texts = [" ".join(f"{spelled[(k * 7 + j * (1 + k % 3)) % 60]}{' the' * apart}" for j in range(40)) for k in range(70)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(class_lm, "FREQUENT", 40)  # words of a 40th of all tokens are listed
+    made, write = Counter(), class_lm.stored
+
+    def counted(df, name):
+        kept = write(df, name)
+        made[name] += kept.count()
+        return kept
+
+    monkeypatch.setattr(class_lm, "stored", counted)
+    learned = frame.where(class_lm.fold() != class_lm.HELD_OUT_FOLD)
+    model = class_lm.fit(learned, min_count=4)
+    result = class_lm.score(frame, model, learned.count())
+    assert len(result.collect()) == 70 and model.moves.count() > 1
+    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert made["open"] <= 2 * (min(60, blocks) + 1)  # of a task: a row for each block that has words, and its table
+    assert made["moves"] <= made["counts"] <= 61
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_numbers_of_words_beyond_a_long_list():
+    """Endings are counted from the list's length on, also where that needs more than two bytes."""
+    low = np.array([7, 500 | class_lm.FREE, 70_000 & 0xFFFF, 3], "<u2")
+    high = np.array([class_lm.RARE, class_lm.RARE, 70_000 >> 16, 0], np.uint8)
+    sizes = np.array([1, 0, 3])
+    part = pa.RecordBatch.from_arrays([class_lm.pieces(low, sizes), class_lm.pieces(high, sizes)], ["low", "high"])
+    index, row, free = class_lm.indices(part, 80_000)
+    assert index.tolist() == [80_007, 80_500, 70_000, 3] and row.tolist() == [0, 2, 2, 2]
+    assert free.tolist() == [False, True, False, False]
+    index, row, free = class_lm.indices(part.slice(1), 80_000)
+    assert index.tolist() == [80_500, 70_000, 3] and row.tolist() == [1, 1, 1]
+
+
+def test_rows_come_together_over_batches():
+    row = [1, 1, 2, 3, 3, 3, 3, 3, 5]
+    whole = pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(range(9))], ["row", "n"])
+    for cut in (1, 2, 3, 9):
+        got = list(class_lm.whole_rows(whole.slice(a, cut) for a in range(0, 9, cut)))
+        assert [x for b in got for x in b.column("n").to_pylist()] == list(range(9))
+        seen = [x for b in got for x in set(b.column("row").to_pylist())]
+        assert len(seen) == len(set(seen)) == 4
+
+
 def test_moves_follow_the_likelihood():
     """The gain of a move is what the class bigrams' likelihood gains by it, recounted from the words."""
     dice = np.random.default_rng(3)
